@@ -101,13 +101,14 @@ def dedupe_best(df: DataFrame, s: SeriesSpec, ties: Sequence[str],
     The winner is the minimum of an ordered struct. That combines on the map side, so a
     slot holding most of the rows costs each task one row of shuffle, not a sort in one task.
     """
-    order: list[Column] = [F.abs("shift_seconds").alias("_shift"), F.col("original_timestamp").alias("_source")]
-    for i, c in enumerate(ties):
-        order += [F.col(c).isNull().alias(f"_null{i}"), F.col(c).alias(f"_tie{i}")]
     key = [s.entity, "aligned_epoch"]
-    rest = [c for c in df.columns if c not in key]
-    best = df.groupBy(*key).agg(F.min(F.struct(*order, *rest)).alias("_best"))
-    out = best.select(*key, *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
+    parts = [F.abs("shift_seconds").alias("_shift"), F.col("original_timestamp")]
+    for c in ties:
+        parts += [F.col(c).isNull().alias(f"_null_{c}"), F.col(c)]
+    placed = {*key, "original_timestamp", *ties}
+    parts += [F.col(c) for c in df.columns if c not in placed]
+    best = df.groupBy(*key).agg(F.min(F.struct(*parts)).alias("_best"))
+    out = best.select(*[F.col(c) if c in key else F.col(f"_best.{c}").alias(c) for c in df.columns])
     return out.drop(*HELPERS) if drop_helpers else out
 
 

@@ -15,25 +15,31 @@ from gaugeworks.spec import SeriesSpec
 GAP_CLASSES = ("under_5min", "exact_5min", "5_to_10min", "10_to_30min", "30_to_60min",
                "1_to_24h", "1_to_7d", "over_7d")
 GAP_EDGES = (600, 1_800, 3_600, 86_400, 604_800)
-BLOCK_SECONDS = 86_400
+BLOCK_SLOTS = 288
 
 
 def intervals(df: DataFrame, s: SeriesSpec, time: str | None = None, within: Sequence[str] = (),
-              block_seconds: int = BLOCK_SECONDS) -> DataFrame:
+              block_slots: int = BLOCK_SLOTS, unique: bool = False) -> DataFrame:
     """One row per pair of consecutive distinct times of an id, inside its period.
 
     A window over the whole history of an id would put the largest id into one task. Here
     the window runs inside time blocks. The first reading of a block takes its predecessor
     from a table of block ends, which has one row per id and block, whatever the row count.
+    Copies of a time are merged on the map side first; pass ``unique`` when the key already is.
     """
     time = time or s.time
     key = [*within, s.entity]
     seen = (df.where(F.col(s.entity).isNotNull() & F.col(time).isNotNull())
-            .select(*key, F.col(time).alias("ts")).distinct()
-            .withColumn("block", floor_div(epoch_seconds("ts"), block_seconds)))
+            .select(*key, F.col(time).alias("ts")))
+    if not unique:
+        seen = seen.distinct()
+    seen = seen.withColumn("block", floor_div(epoch_seconds("ts"), block_slots * s.slot_seconds))
     inside = (seen.withColumn("prev_ts", F.lag("ts").over(Window.partitionBy(*key, "block").orderBy("ts")))
               .select(*key, "prev_ts", "ts"))
-    ends = seen.groupBy(*key, "block").agg(F.min("ts").alias("ts"), F.max("ts").alias("last"))
+    # Minimum and maximum alone would let the optimiser drop the merge from this branch and scan
+    # the source again; the count keeps both branches on the same shuffle.
+    ends = seen.groupBy(*key, "block").agg(
+        F.min("ts").alias("ts"), F.max("ts").alias("last"), F.count("*").alias("n")).where(F.col("n") > 0)
     seams = (ends.withColumn("prev_ts", F.lag("last").over(Window.partitionBy(*key).orderBy("block")))
              .select(*key, "prev_ts", "ts"))
     return (inside.unionByName(seams).where(F.col("prev_ts").isNotNull())
@@ -130,9 +136,9 @@ def span_coverage(df: DataFrame, s: SeriesSpec, by: Sequence[str] = ()) -> DataF
 
 
 def gap_size_distribution(df: DataFrame, s: SeriesSpec, by: Sequence[str] = ()) -> DataFrame:
-    """Gaps of an aligned series per id: events, missing slots, longest, one / two to five / six up."""
+    """Gaps of a clean series per id: events, missing slots, longest, one / two to five / six up."""
     missing = F.col("missing")
-    long_gaps = (intervals(df, s, within=by).where(F.col("gap_seconds") > s.slot_seconds)
+    long_gaps = (intervals(df, s, within=by, unique=True).where(F.col("gap_seconds") > s.slot_seconds)
                  .withColumn("missing", floor_div(F.col("gap_seconds"), s.slot_seconds) - 1))
     return long_gaps.groupBy(*by, s.entity).agg(
         F.count("*").alias("gap_events"), F.sum(missing).alias("missing_intervals"),

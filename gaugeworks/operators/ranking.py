@@ -18,20 +18,34 @@ def top_rows(df: DataFrame, k: int, order: Sequence[Column], by: Sequence[str] =
     return df.withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
 
 
-def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float],
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null.
+
+    Groups with a null key stay. No not-null filter is pushed below the inputs either, so
+    inputs derived from one aggregate keep sharing its shuffle.
+    """
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def exact_percentiles(df: DataFrame, by: Sequence[str], value: str | Column, probs: Mapping[str, float],
                       bucket_width: float, count: str | None = None) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group.
 
     Values are counted before the first shuffle. Bucket totals, at most value range over
     ``bucket_width`` rows per group, locate the buckets holding the wanted ranks, and only
-    those are ordered. Groups without a value are absent.
+    those are ordered. Null values do not count; a group of them has null percentiles.
     """
-    counts = (df.where(F.col(value).isNotNull())
-              .groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    value = F.col(value) if isinstance(value, str) else value
+    counts = (df.groupBy(*by, value.alias("_v")).agg(F.count("*").alias("_n"))
               .withColumn("_b", F.floor(F.col("_v") / F.lit(float(bucket_width)))))
     group = Window.partitionBy(*by)
     running = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (counts.groupBy(*by, "_b").agg(F.sum("_n").alias("_m"))
+    present = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
+    placed = (counts.groupBy(*by, "_b").agg(F.sum(present).alias("_m"))
               .withColumn("_end", F.sum("_m").over(running))
               .withColumn("_all", F.sum("_m").over(group))
               .withColumn("_start", F.col("_end") - F.col("_m")))
@@ -47,12 +61,12 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, probs: Mappi
         return lo_in | hi_in
 
     needed = (placed.withColumn("_ranks", F.filter(F.array(*wanted), touches))
-              .where(F.size("_ranks") > 0).drop("_m", "_end"))
+              .where((F.size("_ranks") > 0) | (F.col("_all") == 0)).drop("_m", "_end"))
     in_bucket = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (counts.join(needed, [*by, "_b"])
+    ranked = (join_same(counts, needed, [*by, "_b"])
               .withColumn("_to", F.col("_start") + F.sum("_n").over(in_bucket))
               .withColumn("_from", F.col("_to") - F.col("_n"))
-              .select(*by, "_v", "_all", "_from", "_to", F.inline("_ranks")))
+              .select(*by, "_v", "_all", "_from", "_to", F.inline_outer("_ranks")))
 
     def at(name: str, rank: str, out: Column) -> Column:
         hit = (F.col("p") == name) & (F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_to"))

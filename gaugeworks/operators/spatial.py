@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from gaugeworks.functions.projection import SVY21, TransverseMercator, project
 from gaugeworks.functions.values import ratio
 from gaugeworks.operators.ranking import top_rows
+from gaugeworks.sources.scratch import materialise
 from gaugeworks.spec import SeriesSpec
 
 MAX_DEPTH = 12
@@ -138,23 +139,25 @@ def nearest(targets: DataFrame, points: DataFrame, k: int, target_id: str = "tar
 
     # Copies on one spot: no more than k of them can ever be neighbours.
     kept = top_rows(points, k, [F.col(point_id)], ["x", "y"]).withColumnsRenamed({"x": "px", "y": "py"})
-    finest = kept.groupBy(cell("px", xy.x0, MAX_DEPTH).alias("cx"), cell("py", xy.y0, MAX_DEPTH).alias("cy")).agg(
-        F.count("*").alias("n"))
+    kept = materialise(kept.withColumns({"cx": cell("px", xy.x0, MAX_DEPTH), "cy": cell("py", xy.y0, MAX_DEPTH)}))
+    finest = kept.groupBy("cx", "cy").agg(F.count("*").alias("n"))
     depth = _depth(finest)
     own = targets.select(target_id, "x", "y").repartition(target_id)
     found = own.select("*", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"))
     w = Window.partitionBy(target_id)
-    for level in range(1, depth + 1):
+    # At the first two levels nothing can be dropped yet, so they are one step of sixteen cells.
+    start = min(2, depth)
+    for level in range(start, depth + 1):
+        parts = range(2 ** start if level == start else 2)
         shrink = 2 ** (MAX_DEPTH - level)
         directory = finest.groupBy(F.floor(F.col("cx") / shrink).alias("cx"),
                                    F.floor(F.col("cy") / shrink).alias("cy")).agg(F.sum("n").alias("n"))
         if level <= BROADCAST_LEVEL:
             directory = F.broadcast(directory)
         size = F.lit(side / 2 ** level)
-        quarter = F.explode(F.array(*[F.struct((F.col("cx") * 2 + i).alias("cx"), (F.col("cy") * 2 + j).alias("cy"))
-                                      for i in (0, 1) for j in (0, 1)])).alias("c")
-        found = found.select(target_id, "x", "y", quarter).select(target_id, "x", "y", "c.cx", "c.cy")
-        found = found.join(directory, ["cx", "cy"])
+        smaller = F.array(*[F.struct((F.col("cx") * len(parts) + i).alias("cx"), (F.col("cy") * len(parts) + j).alias("cy"))
+                            for i in parts for j in parts])
+        found = found.select(target_id, "x", "y", F.inline(smaller)).join(directory, ["cx", "cy"])
         low_x, low_y = F.lit(xy.x0) + F.col("cx") * size, F.lit(xy.y0) + F.col("cy") * size
         gap_x = F.greatest(low_x - F.col("x"), F.col("x") - low_x - size, F.lit(0.0))
         gap_y = F.greatest(low_y - F.col("y"), F.col("y") - low_y - size, F.lit(0.0))
@@ -168,8 +171,8 @@ def nearest(targets: DataFrame, points: DataFrame, k: int, target_id: str = "tar
         found = (found.withColumn("_sure", F.sum("n").over(nested)).withColumn("_reach", reach)
                  .where(F.col("_reach").isNull() | (F.col("_near") <= F.col("_reach") + slack))
                  .select(target_id, "x", "y", "cx", "cy"))
-    leaf = kept.withColumns({"cx": F.floor(cell("px", xy.x0, MAX_DEPTH) / 2 ** (MAX_DEPTH - depth)),
-                             "cy": F.floor(cell("py", xy.y0, MAX_DEPTH) / 2 ** (MAX_DEPTH - depth))})
+    last = 2 ** (MAX_DEPTH - depth)
+    leaf = kept.withColumns({"cx": F.floor(F.col("cx") / last), "cy": F.floor(F.col("cy") / last)})
     dx, dy = F.col("x") - F.col("px"), F.col("y") - F.col("py")
     pairs = found.join(leaf, ["cx", "cy"]).withColumn("distance", F.sqrt(dx * dx + dy * dy))
     return top_rows(pairs, k, [F.col("distance"), F.col(point_id)], [target_id]).drop("cx", "cy")

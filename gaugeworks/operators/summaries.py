@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.grid import slots_in_month, slots_in_year
 from gaugeworks.functions.values import ratio
-from gaugeworks.operators.ranking import exact_percentiles
+from gaugeworks.operators.ranking import exact_percentiles, join_same
 from gaugeworks.spec import EXCEEDANCE_THRESHOLDS, HISTOGRAM_EDGES, TAIL_PERCENTILES, SeriesSpec
 
 
@@ -94,9 +94,12 @@ def median_location(df: DataFrame, by: Sequence[str], s: SeriesSpec, exact: bool
     if not exact:
         return df.groupBy(*by).agg(name, F.percentile_approx(s.latitude, 0.5).alias("latitude"),
                                    F.percentile_approx(s.longitude, 0.5).alias("longitude"))
-    lat = exact_percentiles(df, by, s.latitude, {"latitude": 0.5}, bucket_width)
-    lon = exact_percentiles(df, by, s.longitude, {"longitude": 0.5}, bucket_width)
-    return (df.groupBy(*by).agg(name).join(lat, list(by), "left").join(lon, list(by), "left"))
+    both = F.array(F.struct(F.lit("latitude").alias("axis"), F.col(s.latitude).cast("double").alias("at")),
+                   F.struct(F.lit("longitude").alias("axis"), F.col(s.longitude).cast("double").alias("at")))
+    medians = exact_percentiles(df.select(*by, F.inline(both)), [*by, "axis"], "at", {"median": 0.5}, bucket_width)
+    wide = medians.groupBy(*by).agg(*[F.max(F.when(F.col("axis") == a, F.col("median"))).alias(a)
+                                      for a in ("latitude", "longitude")])
+    return join_same(df.groupBy(*by).agg(name), wide, list(by))
 
 
 def percentile_names(probs: Sequence[float]) -> dict[str, float]:
@@ -109,14 +112,13 @@ def tail_percentiles(df: DataFrame, by: Sequence[str], s: SeriesSpec,
     """Percentiles of the positive values and their number; null percentiles where there are none."""
     wet = F.when(F.col(s.value) > 0, F.col(s.value))
     names = percentile_names(probs)
-    count = F.count(wet).alias("positive_intervals")
     if not exact:
+        count = F.count(wet).alias("positive_intervals")
         sketch = F.percentile_approx(wet, [float(p) for p in probs], 10_000).alias("_p")
         out = df.groupBy(*by).agg(count, sketch)
         return out.select(*by, "positive_intervals",
                           *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(names)])
-    found = exact_percentiles(df.where(F.col(s.value) > 0), by, s.value, names, bucket_width)
-    return df.groupBy(*by).agg(count).join(found, list(by), "left")
+    return exact_percentiles(df, by, wet, names, bucket_width, count="positive_intervals")
 
 
 def histogram(df: DataFrame, by: Sequence[str], s: SeriesSpec,

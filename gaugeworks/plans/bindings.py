@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeworks.operators import clean, features, gaps, summaries
 from gaugeworks.plans.registry import fragment
+from gaugeworks.sources.readers import spread_scan
 from gaugeworks.spec import SeriesSpec, SplitCuts
 
 DAY = SeriesSpec(slot_seconds=86_400)
@@ -27,11 +28,14 @@ TAILS = (0.5, 0.9, 0.95, 0.99, 0.999)
 YEARS = tuple(range(1995, 2002))
 MAP_YEARS = (1997, 1998, 1999, 2000)
 COVERAGE = (40.0, 60.0)
+# Large tables, and the key their rows are spread by when the scan is too narrow.
+SPREAD = {"lineitem": "l_orderkey", "events": "event_id", "customer": "c_custkey"}
 SCORE_LABELS = (5.0, 35.0, 70.0, 115.0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_scan(df, SPREAD[name]) if name in SPREAD else df
 
 
 def _case(c: Column, options: dict[int, Column], otherwise: Column) -> Column:

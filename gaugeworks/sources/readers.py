@@ -37,6 +37,16 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str],
     return require_columns(reader.csv(paths), required)
 
 
+def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer tasks than the session has cores.
+
+    A file with one row group is read by one task whatever its size. Inputs of many row
+    groups already have enough tasks and pass through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def period_path(root: str, period: int, prefix: str = "rainfall_") -> str:
     return f"{root.rstrip('/')}/{prefix}{period}"
 
