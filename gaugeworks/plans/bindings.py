@@ -352,32 +352,35 @@ FROM prepared p, (SELECT unnest([{', '.join(f'{t}::DOUBLE' for t in LABELS)}]) A
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every reading scored at every threshold by a fixed formula, with a chronological split."""
+    """Every reading scored at every threshold by a fixed formula, with a chronological split.
+
+    The prime divisor keeps means off exact decimal halves, where rounding would be undecided.
+    """
     spread = F.explode(F.array(*[F.lit(t) for t in SCORE_LABELS]))
     rows = events_(spark, sf_dir).withColumn("threshold_mm", spread)
-    base = F.pmod(F.col("event_id") * 7919 + F.col("threshold_mm").cast("bigint") * 131, F.lit(1000))
+    base = F.pmod(F.col("event_id") * 7919 + F.col("threshold_mm").cast("bigint") * 131, F.lit(997))
     return rows.select(
         "station_id", F.col("timestamp").alias("prediction_time"), "threshold_mm",
-        (F.col("rainfall") > F.col("threshold_mm")).cast("double").alias("label"), (base / F.lit(1000.0)).alias("p"),
+        (F.col("rainfall") > F.col("threshold_mm")).cast("double").alias("label"), (base / F.lit(997.0)).alias("p"),
         base.alias("base"),
         F.when(F.col("timestamp") < F.lit(CUTS.validation).cast("timestamp_ntz"), "train")
         .when(F.col("timestamp") < F.lit(CUTS.test).cast("timestamp_ntz"), "validation").otherwise("test").alias("split"))
 
 
 fragment("scores", f"""
-SELECT station_id, prediction_time, threshold_mm, label, base / 1000.0::DOUBLE AS p, base,
+SELECT station_id, prediction_time, threshold_mm, label, base / 997.0::DOUBLE AS p, base,
   CASE WHEN prediction_time < TIMESTAMP '2024-01-19' THEN 'train'
     WHEN prediction_time < TIMESTAMP '2024-01-25' THEN 'validation' ELSE 'test' END AS split
 FROM (SELECT station_id, "timestamp" AS prediction_time, threshold_mm,
     CAST(rainfall > threshold_mm AS INTEGER)::DOUBLE AS label,
-    (event_id * 7919 + CAST(threshold_mm AS BIGINT) * 131) % 1000 AS base
+    (event_id * 7919 + CAST(threshold_mm AS BIGINT) * 131) % 997 AS base
   FROM events_, (SELECT unnest([{', '.join(f'{t}::DOUBLE' for t in SCORE_LABELS)}]) AS threshold_mm))""", "events_")
 
 
 def model_scores(spark: SparkSession, sf_dir: str, name: str = "model") -> DataFrame:
     """Three sets of scores that lean towards the label by different amounts."""
     y = F.col("label")
-    variants = F.array(*[F.struct(F.lit(m).alias(name), ((F.col("base") + y * (w * 1000)) / F.lit(1000.0 * (1 + w))).alias("p"))
+    variants = F.array(*[F.struct(F.lit(m).alias(name), ((F.col("base") + y * (w * 997)) / F.lit(997.0 * (1 + w))).alias("p"))
                          for m, w in (("LR", 0), ("RF", 1), ("GBT", 3))])
     return scores(spark, sf_dir).drop("p").select("station_id", "prediction_time", "threshold_mm", "label", "split",
                                                   F.inline(variants))
@@ -385,7 +388,7 @@ def model_scores(spark: SparkSession, sf_dir: str, name: str = "model") -> DataF
 
 fragment("model_scores", """
 SELECT station_id, prediction_time, threshold_mm, label, split, model,
-  (base + label * (w * 1000)) / (1000.0::DOUBLE * (1 + w)) AS p
+  (base + label * (w * 997)) / (997.0::DOUBLE * (1 + w)) AS p
 FROM scores, (VALUES ('LR', 0), ('RF', 1), ('GBT', 3)) v(model, w)""", "scores")
 
 

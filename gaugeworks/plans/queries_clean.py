@@ -40,8 +40,9 @@ def _(spark, sf):
 FROM prepared WHERE split = 'validation' GROUP BY year""", "prepared")
 def _(spark, sf):
     path = f"{scratch_dir(spark)}/prepared"
-    b.prepared(spark, sf).write.partitionBy("split", "year").parquet(path)
-    return readers.read_split(spark, path, "validation").groupBy("year").agg(
+    rows = b.prepared(spark, sf)
+    rows.write.partitionBy("split", "year").parquet(path)
+    return readers.read_split(spark, path, "validation", rows.schema).groupBy("year").agg(
         F.count("*").alias("rows"), F.sum("future_rainfall_30m").alias("total"))
 
 
@@ -97,7 +98,7 @@ def _(spark, sf):
     return spark.read.schema(table.schema).option("header", True).csv(path)
 
 
-@query("S13_scored_output_preview", """SELECT station_id, prediction_time, threshold_mm, label, p FROM scores ORDER BY prediction_time, station_id, threshold_mm LIMIT 200""", "scores")
+@query("S13_scored_output_preview", """SELECT station_id, prediction_time, threshold_mm, label, round(p, 6) AS p FROM scores ORDER BY prediction_time, station_id, threshold_mm LIMIT 200""", "scores")
 def _(spark, sf):
     rows = b.scores(spark, sf).select("station_id", "prediction_time", "threshold_mm", "label", "p")
     path = sinks.scored_output(rows, f"{scratch_dir(spark)}/scored")

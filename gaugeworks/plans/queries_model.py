@@ -72,7 +72,8 @@ UNION ALL SELECT 'label_crosses_split', count(*) FILTER (station_id = 'error' AN
   ELSE TIMESTAMP '2024-01-31' END) FROM prepared
 UNION ALL SELECT 'sums_not_nested', count(*) FILTER (station_id = 'signup') FROM prepared
 UNION ALL SELECT 'unusable_value', count(*) FILTER (station_id = 'purchase') FROM prepared
-UNION ALL SELECT 'count_differs_2024', count(*) FROM prepared) WHERE failures > 0""", "prepared")
+UNION ALL SELECT 'count_differs_2024', count(*) FROM prepared
+UNION ALL SELECT 'empty_dataset', CAST(count(*) = 0 AS BIGINT) FROM prepared) WHERE failures > 0""", "prepared")
 def _(spark, sf):
     return features.validate_prepared(_spoiled(b.prepared(spark, sf)), HOUR, b.CUTS, years=(2024, 2024),
                                       expected_counts={2024: 0})

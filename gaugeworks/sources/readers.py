@@ -67,11 +67,12 @@ def read_series(spark: SparkSession, root: str, periods: Iterable[int],
     return spark.read.parquet(*paths)
 
 
-def read_split(spark: SparkSession, root: str, split: str) -> DataFrame:
-    """Partition-pruned scan of one split."""
+def read_split(spark: SparkSession, root: str, split: str, schema: StructType | None = None) -> DataFrame:
+    """Partition-pruned scan of one split. A known schema also serves a table without rows."""
     if split not in SPLITS:
         raise ValueError(f"Unknown split: {split}")
-    return spark.read.parquet(root).where(F.col("split") == split)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(root).where(F.col("split") == split)
 
 
 def adapt_examples(df: DataFrame, thresholds: Sequence[float] = LABEL_THRESHOLDS,

@@ -26,7 +26,7 @@ def write_periods(df: DataFrame, path: str, by: str = "year") -> str:
 def write_new_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("split", "year")) -> DataFrame:
     """Write to a path that must not exist yet; return the counts read back from it."""
     df.write.mode("errorifexists").partitionBy(*by).parquet(path)
-    stored = df.sparkSession.read.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return stored.groupBy(*by).agg(F.count("*").alias("rows"))
 
 

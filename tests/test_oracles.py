@@ -16,7 +16,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, con, name):
-    assert compare.differences(QUERIES[name](spark, SF), con, ORACLES[name]) == []
+    df = QUERIES[name](spark, SF)
+    assert compare.differences(df, con, ORACLES[name]) == []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
@@ -27,9 +30,3 @@ def test_rows_only(spark, name):
 
 def test_entry(spark):
     assert registered.entry(spark).count() > 0
-
-
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n[0] not in "MIS" or n in ORACLES))
-def test_plan_has_no_cross_join(spark, name):
-    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
