@@ -17,15 +17,18 @@ def write_period(df: DataFrame, root: str, period: int, prefix: str = "rainfall_
 
 
 def write_periods(df: DataFrame, path: str, by: str = "year") -> str:
-    """All periods of one table in one job; only the periods present in ``df`` are replaced."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """All periods of one table in one job; only the periods present in ``df`` are replaced.
+
+    Rebalancing by period keeps the number of files down and still splits a large period.
+    """
+    (df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(by).parquet(path))
     return path
 
 
 def write_new_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("split", "year")) -> DataFrame:
     """Write to a path that must not exist yet; return the counts read back from it."""
-    df.write.mode("errorifexists").partitionBy(*by).parquet(path)
+    df.hint("rebalance", *by).write.mode("errorifexists").partitionBy(*by).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return stored.groupBy(*by).agg(F.count("*").alias("rows"))
 
