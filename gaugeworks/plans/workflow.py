@@ -88,6 +88,29 @@ def train_lr(base: DataFrame, regs: Sequence[float] = (0.0, 0.01, 0.1),
     return models.train_and_select(base, candidates, thresholds, check=models.check_monotone_lr)
 
 
+def train_forest(base: DataFrame, trees: int = 50, depths: Sequence[int] = (5, 8), seed: int = 5208,
+                 thresholds: Sequence[float] = LABEL_THRESHOLDS) -> tuple[PipelineModel, DataFrame]:
+    """Random forest, depth chosen on the validation split."""
+    return models.train_and_select(
+        base, lambda _: {f"depth={d}": models.forest(trees, d, seed) for d in depths}, thresholds)
+
+
+def train_boosted(base: DataFrame, train_fraction: float = 0.01, validation_fraction: float = 0.1,
+                  max_iter: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42,
+                  thresholds: Sequence[float] = LABEL_THRESHOLDS) -> tuple[PipelineModel, DataFrame]:
+    """Boosted trees on a hash sample of stations and times, drawn before rows are expanded.
+
+    The station categories still come from all training rows.
+    """
+    train = base.where(F.col("split") == "train")
+    encoder, bins = models.ordinal_encoder(train)
+    keys = ["station_id", "prediction_time"]
+    sampled = features.hash_sample(train, keys, train_fraction, seed).unionByName(
+        features.hash_sample(base.where(F.col("split") == "validation"), keys, validation_fraction, seed))
+    return models.train_and_select(
+        sampled, lambda _: {"boosted": models.boosted(max_iter, depth, step, bins, seed)}, thresholds, encoder)
+
+
 def evaluate_model(base: DataFrame, model: PipelineModel, path: str,
                thresholds: Sequence[float] = LABEL_THRESHOLDS) -> dict[str, DataFrame]:
     """Score the test split once, store it, and evaluate what was stored."""
