@@ -16,6 +16,8 @@ MAX_DEPTH = 12
 # A directory of level L has at most 4**L rows; up to this level it is small enough to broadcast.
 BROADCAST_LEVEL = 8
 LEAF_POINTS = 16
+# The coordinates stay text until the geometry type tells how deep they are nested.
+GEOMETRY = "struct<type: string, coordinates: string>"
 
 
 def entity_catalog(df: DataFrame, s: SeriesSpec, years: tuple[int, int] = (2017, 2024)) -> DataFrame:
@@ -65,12 +67,11 @@ def boundary_edges(spark: SparkSession, path: str, one_document: bool = True) ->
     ``one_document`` reads a feature collection; otherwise the file has one feature per line
     and can be split over tasks. Polygons and multi-polygons are accepted.
     """
-    geometry = "geometry struct<type string, coordinates string>"
     if one_document:
-        features = (spark.read.option("multiLine", True).schema(f"features array<struct<{geometry.replace(' ', ': ', 1)}>>")
-                    .json(path).select(F.posexplode("features").alias("feature", "f")).select("feature", "f.geometry"))
+        features = (spark.read.option("multiLine", True).schema(f"features array<struct<geometry: {GEOMETRY}>>").json(path)
+                    .select(F.posexplode("features").alias("feature", "f")).select("feature", "f.geometry"))
     else:
-        features = (spark.read.schema(f"id long, {geometry}").json(path)
+        features = (spark.read.schema(f"id long, geometry {GEOMETRY}").json(path)
                     .select(F.col("id").alias("feature"), "geometry"))
     text = F.col("geometry.coordinates")
     ring = "array<array<array<double>>>"

@@ -51,19 +51,14 @@ def period_path(root: str, period: int, prefix: str = "rainfall_") -> str:
     return f"{root.rstrip('/')}/{prefix}{period}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_series(spark: SparkSession, root: str, periods: Iterable[int],
                 prefix: str = "rainfall_", existing_only: bool = False) -> DataFrame:
-    """One scan over several period folders."""
+    """One scan over several period folders; all must exist unless ``existing_only``."""
     paths = [period_path(root, p, prefix) for p in periods]
     if existing_only:
-        paths = [p for p in paths if _exists(spark, p)]
-    if not paths:
-        raise FileNotFoundError(f"No period folder under {root}")
+        # A pattern skips the folders that are absent and still fails when none is there.
+        names = ",".join(path.rsplit("/", 1)[1] for path in paths)
+        paths = [f"{root.rstrip('/')}/{{{names}}}"]
     return spark.read.parquet(*paths)
 
 

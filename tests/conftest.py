@@ -12,7 +12,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "Asia/Singapore")
+               .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "Asia/Shanghai")
                .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate())
