@@ -299,14 +299,15 @@ FROM (SELECT *, ((es * 2 + 3600) // 7200) * 3600 AS aligned_epoch FROM (
 
 
 def dense(spark: SparkSession, sf_dir: str, s: SeriesSpec = HOUR) -> DataFrame:
-    """One mean reading per event type and slot."""
-    total = F.sum(F.col("rainfall").cast("decimal(18,2)")).cast("double")
+    """One mean reading per event type and slot, cut to hundredths in whole numbers."""
+    hundredths = (F.sum(F.col("rainfall").cast("decimal(18,2)")) * 100).cast("bigint")
     return event_slots(spark, sf_dir, s).groupBy("station_id", "timestamp").agg(
-        (total / F.count("*")).alias("rainfall"))
+        (F.call_function("div", hundredths, F.count("*")) / F.lit(100.0)).alias("rainfall"))
 
 
 fragment("dense", """
-SELECT station_id, "timestamp", CAST(sum(CAST(rainfall AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS rainfall
+SELECT station_id, "timestamp", 
+  (CAST(sum(CAST(rainfall AS DECIMAL(18,2))) * 100 AS BIGINT) // count(*)) / 100.0::DOUBLE AS rainfall
 FROM event_slots GROUP BY station_id, "timestamp" """, "event_slots")
 
 
