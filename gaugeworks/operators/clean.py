@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeworks.functions.grid import (MICROS, epoch_micros, epoch_seconds, from_epoch_seconds,
                                        nearest_slot, off_grid)
-from gaugeworks.functions.values import any_of, bad_angle, bad_measure, blank
+from gaugeworks.functions.values import bad_angle, bad_measure, blank
 from gaugeworks.operators.checks import issues, require_none
 from gaugeworks.sources.readers import require_columns
 from gaugeworks.spec import SeriesSpec
@@ -88,7 +88,7 @@ def collision_stats(df: DataFrame, s: SeriesSpec, key: Sequence[str] | None = No
         F.count_if(many & (F.col("low") != F.col("high"))).alias("conflicts"))
 
 
-def keep_best_order(df: DataFrame, s: SeriesSpec, source_columns: Sequence[str]) -> list[str]:
+def keep_best_order(s: SeriesSpec, source_columns: Sequence[str]) -> list[str]:
     """Remaining tie columns: other source columns by name, then the coordinates."""
     skip = {s.entity, s.time, s.name, s.latitude, s.longitude, "original_timestamp"}
     return [*sorted(c for c in source_columns if c not in skip), s.latitude, s.longitude]
@@ -102,6 +102,7 @@ def dedupe_best(df: DataFrame, s: SeriesSpec, ties: Sequence[str],
     slot holding most of the rows costs each task one row of shuffle, not a sort in one task.
     """
     key = [s.entity, "aligned_epoch"]
+    ties = [c for c in dict.fromkeys(ties) if c not in (*key, "original_timestamp")]
     parts = [F.abs("shift_seconds").alias("_shift"), F.col("original_timestamp")]
     for c in ties:
         parts += [F.col(c).isNull().alias(f"_null_{c}"), F.col(c)]
@@ -242,9 +243,5 @@ def clean_period(raw: DataFrame, s: SeriesSpec, dim: DataFrame, year: int, toler
                  f"Invalid records in {year}")
     require_none(collision_stats(named, s, [s.entity, "aligned_epoch"]),
                  {"conflicting_slots": F.col("conflicts") > 0}, f"Conflicting readings in {year}")
-    best = dedupe_best(named, s, keep_best_order(named, s, raw.columns))
+    best = dedupe_best(named, s, keep_best_order(s, raw.columns))
     return best.drop("unmapped", "name_changed")
-
-
-def drop_broken(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    return df.where(~any_of(rules.values()))

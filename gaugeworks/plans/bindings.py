@@ -142,7 +142,7 @@ SOURCE_COLUMNS = ("station_id", "station_name", "timestamp", "reading_value", "l
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = aligned(spark, sf_dir)
-    return clean.dedupe_best(rows, DAY, clean.keep_best_order(rows, DAY, SOURCE_COLUMNS))
+    return clean.dedupe_best(rows, DAY, clean.keep_best_order(DAY, SOURCE_COLUMNS))
 
 
 fragment("cleaned", """

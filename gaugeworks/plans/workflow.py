@@ -33,7 +33,7 @@ def clean_archive(spark: SparkSession, files: Mapping[int, str], path: str,
                  "Invalid records")
     stats = clean.collision_stats(work, s, [s.entity, "aligned_epoch"])
     require_none(stats, {"conflicting_slots": F.col("conflicts") > 0}, "Conflicting readings")
-    ties = clean.keep_best_order(work, s, [c for c in raw.columns if c != "year"])
+    ties = clean.keep_best_order(s, [c for c in raw.columns if c != "year"])
     best = clean.dedupe_best(work, s, ties).drop("unmapped", "name_changed")
     sinks.write_periods(best, path)
     summary = clean.cleaning_summary(work, s)

@@ -27,7 +27,7 @@ def test_best_reading_is_the_one_on_the_grid(spark):
     assert clean.check_offsets(df).isEmpty()
     stats = clean.collision_stats(df, S).first()
     assert (stats.groups, stats.extras, stats.conflicts) == (1, 2, 0)
-    kept = clean.dedupe_best(df, S, clean.keep_best_order(df, S, RAW_COLUMNS))
+    kept = clean.dedupe_best(df, S, clean.keep_best_order(S, RAW_COLUMNS))
     assert rows(kept.select("station_id", "original_timestamp", "timestamp")) == [
         ("S1", "2017-05-01T12:00:00+08:00", datetime(2017, 5, 1, 12))]
 
