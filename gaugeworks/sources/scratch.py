@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder under the shared ``spark.checkpoint.dir`` of the session.
+    """A fresh folder that every executor reaches.
 
-    Only a local session may fall back to a temporary folder of its machine.
+    It lies under the session's ``spark.checkpoint.dir``, or under its warehouse where that is unset.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="gaugeworks-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/gaugeworks-{uuid.uuid4().hex}"
 
 
