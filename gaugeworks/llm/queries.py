@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeworks.llm import fingerprints
+from gaugeworks.llm import fingerprints, mixing
 from gaugeworks.llm.common import LOWER, UPPER, table
 from gaugeworks.llm.registered import query
 
@@ -16,3 +16,10 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g USING (t)""")
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.duplicates(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op3_mixing")
+def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(docs)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("places")).alias("taken"))
