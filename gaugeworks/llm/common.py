@@ -102,3 +102,10 @@ def window_hashes(data: np.ndarray, width: int, codes: np.ndarray) -> np.ndarray
 
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a vocabulary file, which is the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

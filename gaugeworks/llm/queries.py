@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeworks.llm import fingerprints, mixing
-from gaugeworks.llm.common import LOWER, UPPER, table
+from gaugeworks.llm import fingerprints, mixing, packing
+from gaugeworks.llm.common import LOWER, UPPER, table, tokenizer_path
 from gaugeworks.llm.registered import query
 
 
@@ -23,3 +23,8 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix(docs)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("places")).alias("taken"))
+
+
+@query("op1_packing")
+def pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
