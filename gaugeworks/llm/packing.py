@@ -26,7 +26,7 @@ END_OF_DOCUMENT = 1
 #: Tokens between forced candidates where no sentence ends; penalties in tokens of padding.
 STRIDE, AT_SENTENCE, AT_STRIDE, OPENING = 32, 2.0, 6.0, 8.0
 #: Tokens that are solved together, and words in the encoder's cache.
-BLOCK, CACHE = 1 << 18, 1 << 18
+BLOCK, CACHE = 1 << 18, 1 << 19
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -46,6 +46,7 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.inner: dict[str, bytes] = {}
+        self.again: set[str] = set()  # words of the cache that came back
         self.space, self.run, self.single = re.compile(r"\s"), re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)")
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
@@ -53,21 +54,28 @@ class Encoder:
         self.ends = np.array([t.rstrip("\"')]»").endswith((".", "!", "?")) or "Ċ" in t for t in tokens])
 
     def words(self, text: str) -> list[str]:
+        """The text in parts whose ids follow each other: words with the space before them, and line feeds."""
         if self.run.search(text):
             first, *rest = self.single.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return [first, *[f" {w}" for w in rest]] if first else [f" {w}" for w in rest]
+            return [first, *[f" {w}" for w in rest]]
+        out: list[str] = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out += [first, *[f" {w}" for w in rest], "\n"]
+        out.pop()
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.words(t) for t in texts]
-        cache = self.inner
-        missing = list({w for ws in split for w in ws} - cache.keys())
+        wanted, cache = {w for ws in split for w in ws}, self.inner
+        missing = wanted - cache.keys()
+        self.again |= wanted - missing
         if len(cache) + len(missing) > CACHE:
-            cache.clear()
-            missing = list({w for ws in split for w in ws})
+            cache = self.inner = {w: cache[w] for w in self.again}
+            self.again = set()
+            missing = wanted - cache.keys()
         plain = [w for w in missing if not self.space.search(w, 1)]
-        for w in set(missing).difference(plain):
+        for w in missing.difference(plain):
             cache[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, self.kind).tobytes()
         # Line feeds between words without white space are tokens of their own: a call for many words.
         for a in range(0, len(plain), 2048):
