@@ -47,7 +47,7 @@ class Encoder:
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.inner: dict[str, bytes] = {}
         self.again: set[str] = set()  # words of the cache that came back
-        self.space, self.run, self.single = re.compile(r"\s"), re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)")
+        self.plain, self.run, self.single = re.compile(r" ?\S+\Z"), re.compile(r"\s\s"), re.compile(r"(?<=\S) (?=\S)")
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         # In this alphabet a line feed is written as U+010A.
@@ -74,7 +74,7 @@ class Encoder:
             cache = self.inner = {w: cache[w] for w in self.again}
             self.again = set()
             missing = wanted - cache.keys()
-        plain = [w for w in missing if not self.space.search(w, 1)]
+        plain = [w for w in missing if self.plain.match(w)]
         for w in missing.difference(plain):
             cache[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, self.kind).tobytes()
         # Line feeds between words without white space are tokens of their own: a call for many words.
