@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeworks.llm import fingerprints, mixing, packing
+from gaugeworks.llm import convnet, fingerprints, mixing, packing
 from gaugeworks.llm.common import LOWER, UPPER, table, tokenizer_path
 from gaugeworks.llm.registered import query
 
@@ -28,3 +28,10 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_packing")
 def pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op4_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = convnet.train(docs, table(spark, sf_dir, "labels"))
+    return convnet.scored(docs, model).select("doc_id", convnet.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
