@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeworks.llm import convnet, fingerprints, mixing, packing
+from gaugeworks.llm import convnet, fingerprints, jaccard, mixing, packing
 from gaugeworks.llm.common import LOWER, UPPER, table, tokenizer_path
 from gaugeworks.llm.registered import query
 
@@ -35,3 +35,19 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = convnet.train(docs, table(spark, sf_dir, "labels"))
     return convnet.scored(docs, model).select("doc_id", convnet.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op9_ngram_join", rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS g FROM d),
+e AS (SELECT doc_id, unnest(g) AS gram, len(g) AS n FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b USING (gram) WHERE a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, len(s.g) AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id
+FROM s LEFT JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, s.g""")
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
