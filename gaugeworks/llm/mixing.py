@@ -181,5 +181,6 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0
 
 def shuffled(mixed: DataFrame, places: str = "places") -> DataFrame:
     """The mix itself: a row per copy, each shard's rows together in shuffled order."""
-    return (mixed.withColumn("place__", F.explode(places)).drop(places).repartition(F.col("place__.shard"))
-            .sortWithinPartitions("place__.shard", "place__.position").drop("place__"))
+    spot = fresh(mixed, "spot")
+    return (mixed.withColumn(spot, F.explode(places)).drop(places).repartition(F.col(f"{spot}.shard"))
+            .sortWithinPartitions(f"{spot}.shard", f"{spot}.position").drop(spot))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from gaugeworks.llm import convnet, fingerprints, jaccard, mixing, packing
 from gaugeworks.llm.common import LOWER, UPPER, table, tokenizer_path
 from gaugeworks.llm.registered import query
@@ -51,3 +52,8 @@ SELECT s.doc_id, len(s.g) AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.do
 FROM s LEFT JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, s.g""")
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
