@@ -91,8 +91,10 @@ def split(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
         kind = "array<struct<source_id:long,n:long>>"
         empty = F.struct(F.col("total").alias("rest"), F.col("half").alias("draws"), F.array().cast(kind).alias("left"), F.array().cast(kind).alias("right"))
 
-        def deal(s: Column, x: Column, level: int = level) -> Column:
-            drawn = _hypergeometric(x["n"], s["rest"], s["draws"], _uniform(seed, F.lit(level), F.col("node"), x["source_id"]))
+        step = F.lit(level)
+
+        def deal(s: Column, x: Column) -> Column:
+            drawn = _hypergeometric(x["n"], s["rest"], s["draws"], _uniform(seed, step, F.col("node"), x["source_id"]))
             # An array of one binds the draw, so that it is computed once.
             return F.element_at(F.transform(F.array(drawn), lambda k: F.struct(
                 (s["rest"] - x["n"]).alias("rest"), (s["draws"] - k).alias("draws"),
