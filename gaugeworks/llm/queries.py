@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from gaugeworks.llm import convnet, fingerprints, jaccard, mixing, packing
+from gaugeworks.llm import convnet, fingerprints, hosts, jaccard, mixing, nra, packing
 from gaugeworks.llm.common import LOWER, UPPER, table, tokenizer_path
 from gaugeworks.llm.registered import query
 
@@ -57,3 +57,48 @@ def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op7_topk", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
+def _hosts_sql() -> str:
+    """The filter in SQL, its rounds unrolled."""
+    host = f"translate(regexp_extract({{0}}, '^[\\s\\S]*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
+    ordered = sorted(hosts.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in ordered]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, ordered, strict=True)) + " END"
+    ruling = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, ordered, strict=True)) + " END"
+    d = hosts.DAMPING
+    sql = f"""
+WITH u AS (SELECT page_id, coalesce(html, '') AS html, {host.format("coalesce(url, '')")} AS host,
+    regexp_extract(coalesce(url, ''), '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+p AS (SELECT *, {rule} AS rule, {ruling} AS ruling FROM u),
+h AS (SELECT host AS source, unnest(regexp_extract_all(html, '{hosts.LINK.replace("'", "''")}', 1)) AS link FROM p),
+g AS (SELECT source, {host.format("CASE WHEN starts_with(link, '//') THEN 'http:' || link ELSE link END")} AS target FROM h),
+e AS (SELECT source, target, count(*) AS w FROM g WHERE source <> target AND source <> '' AND target <> '' GROUP BY ALL),
+k AS (SELECT source AS host, target AS dest, w / sum(w) OVER (PARTITION BY source) AS t, 0.0::DOUBLE AS d FROM e
+  UNION ALL SELECT target, source, 0.0::DOUBLE, w / sum(w) OVER (PARTITION BY target) FROM e),
+n AS (SELECT host, count(*) FILTER (ruling = 'allow') AS good, count(*) FILTER (ruling = 'block') AS bad FROM p WHERE ruling IS NOT NULL AND host <> '' GROUP BY host),
+r0 AS (SELECT host, good / greatest(1, sum(good) OVER ()) AS trust, bad / greatest(1, sum(bad) OVER ()) AS distrust FROM n)"""
+    for i in range(hosts.ROUNDS):
+        sql += f""",
+r{i + 1} AS (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
+  SELECT host, trust * {1 - d} AS trust, distrust * {1 - d} AS distrust FROM r0
+  UNION ALL SELECT k.dest, r.trust * k.t * {d}, r.distrust * k.d * {d} FROM r{i} r JOIN k USING (host)) GROUP BY host)"""
+    return sql + f"""
+SELECT page_id, host, path, rule, coalesce(ruling, CASE WHEN distrust > 0 AND distrust >= {hosts.THRESHOLD} * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN r{hosts.ROUNDS} USING (host)"""
+
+
+@query("op6_url_filter", _hosts_sql())
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
