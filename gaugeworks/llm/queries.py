@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from gaugeworks.llm import convnet, fingerprints, hosts, jaccard, mixing, nra, packing
+from gaugeworks.llm import convnet, fingerprints, hosts, jaccard, licenses, mixing, nra, packing
 from gaugeworks.llm.common import LOWER, UPPER, table, tokenizer_path
 from gaugeworks.llm.registered import query
 
@@ -102,3 +102,8 @@ FROM p LEFT JOIN r{hosts.ROUNDS} USING (host)"""
 @query("op6_url_filter", _hosts_sql())
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosts.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_license_scan")
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
