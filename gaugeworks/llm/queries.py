@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from gaugeworks.llm import convnet, fingerprints, hosts, jaccard, licenses, mixing, nra, packing
+from gaugeworks.llm import convnet, fingerprints, hosts, jaccard, licenses, mixing, nra, packing, pii
 from gaugeworks.llm.common import LOWER, UPPER, table, tokenizer_path
 from gaugeworks.llm.registered import query
 
@@ -107,3 +107,8 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_license_scan")
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(table(spark, sf_dir, "documents"))
