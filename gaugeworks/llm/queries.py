@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from gaugeworks.llm import convnet, fingerprints, hosts, jaccard, licenses, mixing, nra, packing, pii
+from gaugeworks.llm import convnet, fingerprints, hosts, jaccard, licenses, mixing, nra, packing, pii, suffixes
 from gaugeworks.llm.common import LOWER, UPPER, table, tokenizer_path
 from gaugeworks.llm.registered import query
 
@@ -112,3 +112,8 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.found(table(spark, sf_dir, "documents"))
+
+
+@query("op5_repeats")
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(table(spark, sf_dir, "documents"))
