@@ -48,7 +48,7 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray, shape: Shape) -> tuple[np.n
     inside = at < offsets[1:][owner][:, None]
     if not len(data):
         return np.full(at.shape, PAD, np.int16), owner
-    return np.where(inside, data[np.minimum(at, len(data) - 1)], PAD).astype(np.int16), owner
+    return np.where(inside, data[np.minimum(at, len(data) - 1)], np.int16(PAD)), owner
 
 
 def _windows(rows: np.ndarray, params: dict, shape: Shape) -> np.ndarray:
@@ -95,7 +95,7 @@ def score(data: np.ndarray, offsets: np.ndarray, model: Model, most_chunks: int
             for k in range(0, len(starts), most_chunks):
                 own = starts[k:k + most_chunks]
                 cells = own[:, None] + np.arange(shape.chunk)
-                rows = np.where(cells < len(part), part[np.minimum(cells, len(part) - 1)], PAD).astype(np.int16)
+                rows = np.where(cells < len(part), part[np.minimum(cells, len(part) - 1)], np.int16(PAD))
                 maxima = pooled(rows, model.params, shape)
                 total, top, count = total + maxima.sum(axis=0), np.maximum(top, maxima.max(axis=0)), count + len(own)
             features = np.hstack([total / count, top])[None]
