@@ -6,10 +6,10 @@ as the next stage's docs. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeworks.llm import convnet, fingerprints, jaccard, mixing, packing
-from gaugeworks.llm.common import fresh, null_safe, table, text_key, tokenizer_path
+from gaugeworks.llm.common import fresh, table, text_key, tokenizer_path
 from gaugeworks.sources.scratch import materialise
 
 #: No stage can be given as SQL as a whole: the first one trains a network.
@@ -18,10 +18,13 @@ ORACLE_SQL = None
 
 def _one_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, row_key) is in ``chosen``; of identical rows one stays."""
-    name = fresh(docs, "row_key")
-    keyed = docs.withColumn(name, text_key(F.coalesce("text", F.lit(""))))
-    kept = null_safe(keyed, chosen.select("doc_id", F.col("row_key").alias(name)), ["doc_id", name], "left_semi")
-    return kept.dropDuplicates(["doc_id", name]).drop(name)
+    names = [fresh(docs, n) for n in ("row_key", "id", "no_id")]
+
+    def keyed(df: DataFrame, key: Column) -> DataFrame:
+        return df.withColumns(dict(zip(names, (key, F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()), strict=True)))
+
+    wanted = keyed(chosen.select("doc_id", "row_key"), F.col("row_key")).select(*names).distinct()
+    return keyed(docs, text_key(F.coalesce("text", F.lit("")))).join(wanted, names, "left_semi").dropDuplicates(names).drop(*names)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

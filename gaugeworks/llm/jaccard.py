@@ -13,15 +13,17 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeworks.llm.common import LOWER_BYTES, byte_codes, mix, null_safe, slices, text_key, utf8
+from gaugeworks.llm.common import LOWER_BYTES, byte_codes, mix, slices, text_key, utf8
 from gaugeworks.llm.components import components
 from gaugeworks.sources.scratch import materialise
 
-CELLS, RANGE = 1 << 18, 1 << 10
+CELLS, RANGE = 1 << 22, 1 << 12
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -78,24 +80,24 @@ def set_id(grams: np.ndarray) -> bytes:
     return mix(both + np.uint64(len(grams))).tobytes()
 
 
+def _cells(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64(CELLS - 1)).astype(np.int64)
+
+
 def _scan(width: int):
     def run(batches):
         grams, counts = Grams(width), np.zeros(CELLS, np.int64)
         for batch in batches:
-            sizes, ids, seen = [], [], []
+            sizes, ids = [], []
             for s in grams.sets(*utf8(batch.column("text"))):
                 sizes.append(len(s))
                 ids.append(set_id(s))
-                seen.append(s & np.uint64(CELLS - 1))
-                if len(seen) == 1024:
-                    counts += np.bincount(np.concatenate(seen).astype(np.int64), minlength=CELLS)
-                    seen = []
-            counts += np.bincount(np.concatenate([*seen, np.zeros(0, np.uint64)]).astype(np.int64), minlength=CELLS)
+                np.add.at(counts, _cells(s), 1)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
                                               pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["doc_id", "row_key", "n", "sid", "range", "counts"])
         part = np.flatnonzero(counts.reshape(-1, RANGE).any(axis=1))
-        packed = [counts[k * RANGE:(k + 1) * RANGE].astype("<i8").tobytes() for k in part]
+        packed = [zlib.compress(counts[k * RANGE:(k + 1) * RANGE].astype("<i8").tobytes(), 1) for k in part]
         m = len(part)
         yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
                                           pa.array(part.astype(np.int32)), pa.array(packed, pa.binary())], ["doc_id", "row_key", "n", "sid", "range", "counts"])
@@ -107,14 +109,14 @@ def _add_up(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, c in zip(batch.column("range").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            own = np.frombuffer(c, "<i8")
+            own = np.frombuffer(zlib.decompress(c), "<i8")
             sums[k] = sums[k] + own if k in sums else own
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["range", "counts"])
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary())], ["range", "counts"])
 
 
-def _prefixes(width: int, percent: int, counts: np.ndarray):
+def _prefixes(width: int, percent: int, shared):
     def run(batches):
-        grams, done = Grams(width), set()
+        grams, done, counts = Grams(width), set(), shared.value
         for batch in batches:
             parts = []
             for s in grams.sets(*utf8(batch.column("text"))):
@@ -123,7 +125,7 @@ def _prefixes(width: int, percent: int, counts: np.ndarray):
                     continue
                 done.add(sid)
                 length = len(s) - (percent * len(s) + 99) // 100 + 1
-                order = np.lexsort((s, counts[(s & np.uint64(CELLS - 1)).astype(np.int64)]))[:length]
+                order = np.lexsort((s, counts[_cells(s)]))[:length]
                 parts.append((s[order], sid, len(s)))
             if parts:
                 sizes = [len(p[0]) for p in parts]
@@ -273,18 +275,21 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", text_key(F.col("text")))
     scan = materialise(rows.mapInArrow(_scan(width), "doc_id long, row_key long, n long, sid binary, range int, counts binary"), "scan")
-    counts = np.zeros(CELLS, np.int64)
+    counts = np.zeros(CELLS, np.int64)  # in all, and broadcast
     sketch = scan.where("range is not null").select("range", "counts").repartition("range").mapInArrow(_add_up, "range int, counts binary")
     for r in sketch.collect():
-        counts[r["range"] * RANGE:(r["range"] + 1) * RANGE] = np.frombuffer(r["counts"], "<i8")
+        counts[r["range"] * RANGE:(r["range"] + 1) * RANGE] = np.frombuffer(zlib.decompress(r["counts"]), "<i8")
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
     lines = scan.where("range is null").select("doc_id", "row_key", "n", "sid")
     nodes = lines.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "row_key")).alias("at"))
 
-    prefixes = rows.select("text").mapInArrow(_prefixes(width, percent, counts), "gram long, sid binary, n int, pos int")
+    prefixes = rows.select("text").mapInArrow(_prefixes(width, percent, shared), "gram long, sid binary, n int, pos int")
     posts = materialise(prefixes.repartition("gram").sortWithinPartitions("gram", "sid").mapInArrow(
         _to_centres, "gram long, sid binary, n int, pos int, c_sid binary, c_n int, c_pos int"), "posts")
     wanted = posts.select("sid").union(posts.select("c_sid")).distinct().join(nodes, "sid").select("at.doc_id", "at.row_key")
-    texts = null_safe(rows, wanted, ["doc_id", "row_key"], "left_semi").dropDuplicates(["doc_id", "row_key"])
+    # Rows by id, where null counts as 0, and text: rows that this mixes up have one set.
+    id_, key = F.coalesce("doc_id", F.lit(0)).alias("id"), ["id", "row_key"]
+    texts = rows.select(id_, "row_key", "text").join(wanted.select(id_, "row_key").distinct(), key, "left_semi").dropDuplicates(key)
     sets = materialise(texts.select("text").mapInArrow(_grams_of(width), "sid binary, grams binary"), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from gaugeworks.llm import convnet
 
@@ -46,7 +47,7 @@ def test_score_is_the_network_for_short_and_long_texts():
 def test_training_learns_and_holds_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    rows = {r.doc_id: r for r in convnet.scored(docs.select("doc_id", "text"), convnet.train(docs, labels)).select("doc_id", "score", convnet.held_out(docs.doc_id).alias("h")).collect()}
+    rows = {r.doc_id: r for r in convnet.scored(docs.select("doc_id", "text"), convnet.train(docs, labels)).select("doc_id", "score", convnet.held_out(F.col("doc_id")).alias("h")).collect()}
     assert all(r.h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in rows.items())
     held = [(rows[r.doc_id].score, r.quality) for r in labels.collect() if r.doc_id in rows and rows[r.doc_id].h]
     good, bad = [s for s, q in held if q == 1], [s for s, q in held if q == 0]
@@ -54,8 +55,6 @@ def test_training_learns_and_holds_out(spark):
 
 
 def test_held_out_labels_change_nothing(spark, documents):
-    from pyspark.sql import functions as F
-
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     turned = labels.withColumn("quality", F.when(convnet.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = convnet.train(documents, labels), convnet.train(documents, turned)
