@@ -70,7 +70,7 @@ def test_mix(spark, documents):
     assert {r.source: r.source_size for r in rows} == sizes
     again = mixing.mix(documents.repartition(5), block_words=2000, shard_words=20_000).collect()
     assert {r.doc_id: r.places for r in rows} == {r.doc_id: r.places for r in again}
-    assert len({p.shard for r in rows for p in r.places}) > 4
+    assert len({p.shard for r in rows for p in r.places}) > 3
 
 
 def test_odd_rows(odd, none):
