@@ -23,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks.llm.common import byte_codes, mix, slices, utf8, window_hashes
@@ -30,14 +31,17 @@ from gaugeworks.sources.scratch import materialise
 
 DEPTH, GRAM, SMALL = 50, 30, 9
 CHOICES = DEPTH - GRAM + 1
-#: Bytes of text that a task resolves by itself at a time, and that a bucket or group of documents stands for.
-BLOCK = 1 << 25
+#: Bytes of text that a task resolves by itself at a time, and that a part of the buckets or documents stands for.
+BLOCK, PART = 1 << 24, 3 << 23
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 SENT = "part int, kind int, keys binary, ctx binary, ids binary, rows binary, counts binary, lo binary, n binary"
 MARKS = "home int, kind int, rows binary, lo binary, n binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-MARK, ASK = 0, 1
+#: Marks, open questions, and strings that only serve to answer those of others.
+MARK, ASK, TELL = 0, 1, 2
+#: Bytes of a bucket's and of a context's identifier that travel: 96 bits tell contexts apart.
+BUCKET_BYTES, CONTEXT_BYTES = 7, 5
 
 
 def identifiers(data: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -100,8 +104,15 @@ def _least(group: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(values, first)[group]
 
 
-def _bytes(arrays) -> pa.Array:
-    return pa.array([a.tobytes() for a in arrays], pa.binary())
+def _narrow(values: np.ndarray, width: int) -> bytes:
+    """The low bytes of 64-bit numbers."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _wide(packed: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(packed) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(packed, np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
 
 
 def _by_part(part: np.ndarray):
@@ -127,7 +138,8 @@ def _merged(rows: np.ndarray, lo: np.ndarray, n: np.ndarray):
 
 def resolved(doc, row, lo, n, bucket, context, parts: int):
     """What a task can say by itself, packed per part: strings to remove (kind 1), and what has to travel (kind 0)."""
-    order = np.lexsort((lo, row, context, bucket))
+    bucket = bucket & np.uint64((1 << 8 * BUCKET_BYTES) - 1)
+    order = np.lexsort((context, bucket))
     doc, row, lo, n, bucket, context = (v[order] for v in (doc, row, lo, n, bucket, context))
     lost = doc > _least(_groups(bucket, context), doc)
     out = []
@@ -142,7 +154,7 @@ def resolved(doc, row, lo, n, bucket, context, parts: int):
         i = i[np.lexsort((lo[i], row[i]))]
         cut = np.flatnonzero(np.concatenate([[True], row[i][1:] != row[i][:-1]]))
         low, high = (lo[i] & 0xFFFF).astype("<u2"), (lo[i] >> 16).astype("<u2")
-        out.append((p, 0, bucket[i].tobytes(), context[i].tobytes(), doc[i[cut]].tobytes(), row[i[cut]].tobytes(),
+        out.append((p, 0, _narrow(bucket[i], BUCKET_BYTES), _narrow(context[i], CONTEXT_BYTES), doc[i[cut]].tobytes(), row[i[cut]].tobytes(),
                     np.diff(np.append(cut, len(i))).astype("<u4").tobytes(), low.tobytes() + high.tobytes(), n[i].astype("u1").tobytes()))
     columns = list(zip(*out, strict=True)) if out else [[]] * 9
     kinds = [pa.int32()] * 2 + [pa.binary()] * 7
@@ -155,12 +167,12 @@ def _scan(parts: int):
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             docs, rows = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
-            for a, b in slices(offsets, 1 << 21):
+            for a, b in slices(offsets, 1 << 20):
                 owner, lo, n, bucket, context = pointers(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 own_rows = rows[a:b]
                 new = np.array([r not in seen and not seen.add(r) for r in own_rows.tolist()], bool)  # identical rows count once
                 keep = new[owner]
-                held.append((docs[a:b][owner][keep], own_rows[owner][keep], lo[keep], n[keep], bucket[keep], context[keep]))
+                held.append((docs[a:b][owner][keep], own_rows[owner][keep], lo[keep].astype(np.int32), n[keep].astype(np.int32), bucket[keep], context[keep]))
                 size += offsets[b] - offsets[a]
                 if size >= BLOCK:
                     yield resolved(*map(np.concatenate, zip(*held, strict=True)), parts)
@@ -181,10 +193,10 @@ def _refine(parts: int, ask: bool):
                 out.append((r["part"], MARK, r["rows"], r["lo"], r["n"]))
                 continue
             counts = np.frombuffer(r["counts"], "<u4")
-            low, high = np.frombuffer(r["lo"], "<u2").reshape(2, -1).astype(np.int64)
-            for f, v in (("bucket", np.frombuffer(r["keys"], np.uint64)), ("context", np.frombuffer(r["ctx"], np.uint64)),
+            low, high = np.frombuffer(r["lo"], "<u2").reshape(2, -1).astype(np.int32)
+            for f, v in (("bucket", _wide(r["keys"], BUCKET_BYTES)), ("context", _wide(r["ctx"], CONTEXT_BYTES)),
                          ("doc", np.repeat(np.frombuffer(r["ids"], np.int64), counts)), ("row", np.repeat(np.frombuffer(r["rows"], np.int64), counts)),
-                         ("lo", low + (high << 16)), ("n", np.frombuffer(r["n"], "u1").astype(np.int64))):
+                         ("lo", low + (high << 16)), ("n", np.frombuffer(r["n"], "u1").astype(np.int32))):
                 columns[f].append(v)
         if columns["bucket"]:
             bucket, context, doc, row, lo, n = (np.concatenate(v) for v in columns.values())
@@ -195,8 +207,9 @@ def _refine(parts: int, ask: bool):
             kinds = [(MARK, lost)]
             if ask:
                 several = -_least(whole, -fine) != _least(whole, fine)
-                shared = -_least(whole, -doc) != _least(whole, doc)
-                kinds.append((ASK, ~lost & several & shared))
+                first = _least(whole, doc)
+                open_ = ~lost & several & (-_least(whole, -doc) != first)
+                kinds += [(ASK, open_ & (doc > first)), (TELL, open_ & (doc == first))]
             for kind, pick in kinds:
                 rows, at, count = _merged(row[pick], lo[pick], n[pick])
                 for p, i in _by_part(np.mod(rows, parts)):
@@ -215,41 +228,46 @@ def _runs(table: pa.Table) -> tuple[np.ndarray, ...]:
     return rows[order], kind[order], lo[order], n[order]
 
 
+def _packed(batches):
+    """Texts by their home, compressed for the shuffle."""
+    pack = zstandard.ZstdCompressor()
+    for batch in batches:
+        texts = pa.array([pack.compress(t.as_buffer()) for t in batch.column("text")], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), texts, batch.column("home")], ["doc_id", "row", "packed", "home"])
+
+
 def _apply(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Documents with their marks: final rows, and for documents with open questions their text, marks and questions."""
+    """Documents with their marks. A row is final, or has open questions, and then its text and marks; ``pieces``
+    are the strings that questions are about, its own or those of others."""
     rows, kind, lo, n = _runs(right)
-    own = left["row"].to_numpy()
-    begin, end = np.searchsorted(rows, own), np.searchsorted(rows, own, side="right")
-    columns = {"doc_id": left["doc_id"], "row": left["row"]}
-    sizes, removed, spans, digests, texts, marks, asks = [], [], [], [], [], [], []
-    before = left["marks"].to_pylist() if "marks" in left.schema.names else [b""] * len(own)
-    for text, a, b, known in zip(left["text"], begin.tolist(), end.tolist(), before, strict=True):
-        raw = text.as_buffer()
-        mark = kind[a:b] == MARK
+    begin, end = (np.searchsorted(rows, left["row"].to_numpy(), side=s) for s in ("left", "right"))
+    before = left["marks"].to_pylist() if "marks" in left.schema.names else [None] * left.num_rows
+    unpack, out = zstandard.ZstdDecompressor(), []
+    for packed, a, b, known in zip(left["packed"], begin.tolist(), end.tolist(), before, strict=True):
+        raw = unpack.decompress(packed.as_buffer())
         runs = np.stack([lo[a:b], n[a:b]], axis=1)
-        gone, open_ = np.concatenate([np.frombuffer(known, "<i8").reshape(-1, 2), runs[mark]]), runs[~mark]
-        size = raw.size
-        sizes.append(size)
-        pending = len(open_) > 0
-        texts.append(raw.to_pybytes() if pending else None)
-        marks.append(gone.astype("<i8").tobytes() if pending else None)
-        asks.append(open_.astype("<i8").tobytes() if pending else None)
-        if pending:
-            removed.append(None), spans.append(None), digests.append(None)
-            continue
-        if not len(gone):
-            removed.append(0), spans.append(0), digests.append(hashlib.sha256(raw).hexdigest())
-            continue
-        edge = np.zeros(size + 1, np.int64)
-        np.add.at(edge, gone[:, 0], 1)
-        np.add.at(edge, gone[:, 0] + gone[:, 1] - 1 + DEPTH, -1)
-        out = np.cumsum(edge[:-1]) > 0
-        removed.append(int(out.sum()))
-        spans.append(int(out[0]) + int((out[1:] & ~out[:-1]).sum()))
-        digests.append(hashlib.sha256(np.frombuffer(raw, np.uint8)[~out].tobytes()).hexdigest())
-    return pa.table([columns["doc_id"], columns["row"], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string()),
-                     pa.array(texts, pa.binary()), pa.array(marks, pa.binary()), pa.array(asks, pa.binary())],
-                    names=["doc_id", "row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "marks", "asks"])
+        gone, shown = runs[kind[a:b] == MARK], runs[kind[a:b] != MARK]
+        if known:
+            gone = np.concatenate([np.frombuffer(known, "<i8").reshape(-1, 2), gone])
+        final, rest = (len(raw), None, None, None), (None, None)
+        if (kind[a:b] == ASK).any():
+            rest = packed.as_py(), gone.astype("<i8").tobytes()
+        else:
+            keep, count, spans = raw, 0, 0
+            if len(gone):
+                edge = np.zeros(len(raw) + 1, np.int64)
+                np.add.at(edge, gone[:, 0], 1)
+                np.add.at(edge, gone[:, 0] + gone[:, 1] - 1 + DEPTH, -1)
+                lost = np.cumsum(edge[:-1]) > 0
+                keep, count = np.frombuffer(raw, np.uint8)[~lost].tobytes(), int(lost.sum())
+                spans = int(lost[0]) + int((lost[1:] & ~lost[:-1]).sum())
+            final = len(raw), count, spans, hashlib.sha256(keep).hexdigest()
+        pieces = b"".join(raw[x:x + m - 1 + DEPTH] for x, m in shown.tolist()) if len(shown) else None
+        out.append((*final, *rest, shown.astype("<i8").tobytes() if len(shown) else None, pieces))
+    columns = list(zip(*out, strict=True)) if out else [[]] * 8
+    kinds = [pa.int64()] * 3 + [pa.string()] + [pa.binary()] * 4
+    return pa.table([left["doc_id"], left["row"], *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
+                    names=["doc_id", "row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "packed", "marks", "shown", "pieces"])
 
 
 def _one_by_one(parts: int):
@@ -257,13 +275,14 @@ def _one_by_one(parts: int):
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for doc, row, text, asks in zip(*(batch.column(c) for c in ("doc_id", "row", "text", "asks")), strict=True):
-                data = np.frombuffer(text.as_buffer(), np.uint8)
-                for lo, n in np.frombuffer(asks.as_buffer(), "<i8").reshape(-1, 2).tolist():
-                    part = data[lo:lo + n - 1 + DEPTH]
-                    held.append((np.full(n, doc.as_py()), np.full(n, row.as_py()), lo + np.arange(n), np.ones(n, np.int64), identifiers(part, 11)[1], identifiers(part, 13)[1]))
+            for doc, row, shown, pieces in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "shown", "pieces")), strict=True):
+                data, at = np.frombuffer(pieces, np.uint8), 0
+                for lo, n in np.frombuffer(shown, "<i8").reshape(-1, 2).tolist():
+                    part = data[at:at + n - 1 + DEPTH]
+                    at += len(part)
+                    held.append((np.full(n, doc), np.full(n, row), (lo + np.arange(n)).astype(np.int32), np.ones(n, np.int32), identifiers(part, 11)[1], identifiers(part, 13)[1]))
                     size += n
-                if size >= 1 << 20:
+                if size >= 1 << 19:
                     yield resolved(*map(np.concatenate, zip(*held, strict=True)), parts)
                     held, size = [], 0
         if held:
@@ -272,7 +291,7 @@ def _one_by_one(parts: int):
     return run
 
 
-def removed(docs: DataFrame, part_bytes: int = BLOCK) -> DataFrame:
+def removed(docs: DataFrame, part_bytes: int = PART) -> DataFrame:
     """Remove each byte covered by a 50-byte string that also starts in a document with a smaller doc_id.
 
     One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256. Texts are
@@ -280,7 +299,7 @@ def removed(docs: DataFrame, part_bytes: int = BLOCK) -> DataFrame:
     doc_id do not remove from each other; rows with a null doc_id neither lose nor remove anything. Identical rows
     get identical results. Other columns are ignored; an empty table gives an empty result.
 
-    Strings are told apart by 128 bits of hashes. Full texts are shuffled once, and those with open
+    Strings are told apart by 96 bits of hashes. Full texts are shuffled once, compressed, and those with open
     questions once more. The driver sees the number of bytes, from which the number of parts follows.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
@@ -288,10 +307,12 @@ def removed(docs: DataFrame, part_bytes: int = BLOCK) -> DataFrame:
     home = F.pmod("row", F.lit(parts)).cast("int")
     sent = rows.where("doc_id is not null").mapInArrow(_scan(parts), SENT)
     marks = sent.groupBy("part").applyInArrow(_refine(parts, True), MARKS)
-    kind = RESULT.replace("doc_id long,", "doc_id long, row long,") + ", text binary, marks binary, asks binary"
-    first = materialise(rows.withColumn("home", home).groupBy("home").cogroup(marks.groupBy("home")).applyInArrow(_apply, kind), "first")
-    open_ = first.where("asks is not null").select("doc_id", "row", "text", "marks", "asks")
-    again = open_.mapInArrow(_one_by_one(parts), SENT).groupBy("part").applyInArrow(_refine(parts, False), MARKS)
-    rest = open_.withColumn("home", home).groupBy("home").cogroup(again.groupBy("home")).applyInArrow(_apply, kind)
+    kind = RESULT.replace("doc_id long,", "doc_id long, row long,") + ", packed binary, marks binary, shown binary, pieces binary"
+    texts = rows.withColumn("home", home).mapInArrow(_packed, "doc_id long, row long, packed binary, home int")
+    first = materialise(texts.groupBy("home").cogroup(marks.groupBy("home")).applyInArrow(_apply, kind), "first")
+    shown = first.where("shown is not null").select("doc_id", "row", "shown", "pieces")
+    again = shown.mapInArrow(_one_by_one(parts), SENT).groupBy("part").applyInArrow(_refine(parts, False), MARKS)
+    open_ = first.where("packed is not null").select("doc_id", "row", "packed", "marks").withColumn("home", home)
+    rest = open_.groupBy("home").cogroup(again.groupBy("home")).applyInArrow(_apply, kind)
     names = [f.split()[0] for f in RESULT.split(", ")]
-    return first.where("asks is null").select(*names).union(rest.select(*names))
+    return first.where("packed is null").select(*names).union(rest.select(*names))
