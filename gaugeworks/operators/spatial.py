@@ -87,22 +87,24 @@ def boundary_edges(spark: SparkSession, path: str, one_document: bool = True) ->
 
 
 def inside(points: DataFrame, edges: DataFrame, band: float, point_id: str = "point_id") -> DataFrame:
-    """Points a multi-polygon covers, its outline included.
+    """Points that any polygon covers, outlines included; ``edges`` as of ``boundary_edges``.
 
     Points and edges meet on equal horizontal bands of height ``band``, so a point sees the
-    edges at its own height only. Crossing parity over all rings handles holes.
+    edges at its own height only. Crossing parity is counted per polygon over all its rings: holes
+    are left out, and polygons may overlap.
     """
+    polygon = ["feature", "polygon"]
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    banded = edges.select("x1", "y1", "x2", "y2",
+    banded = edges.select(*polygon, "x1", "y1", "x2", "y2",
                           F.explode(F.sequence(F.floor(low / band), F.floor(high / band))).alias("_band"))
-    placed = points.withColumn("_band", F.floor(F.col("y") / band))
+    placed = points.select(point_id, "x", "y").withColumn("_band", F.floor(F.col("y") / band))
     x, y, x1, y1, x2, y2 = (F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2"))
     straddles = (y1 > y) != (y2 > y)
     crosses = straddles & (x < (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1)
     on_edge = (((x - x1) * (y2 - y1) == (y - y1) * (x2 - x1))
                & x.between(F.least("x1", "x2"), F.greatest("x1", "x2"))
                & y.between(F.least("y1", "y2"), F.greatest("y1", "y2")))
-    hit = placed.join(banded, "_band").groupBy(point_id).agg(
+    hit = placed.join(banded, "_band").groupBy(point_id, *polygon).agg(
         F.count_if(F.coalesce(crosses, F.lit(False))).alias("_n"), F.max(on_edge).alias("_edge"))
     covered = hit.where((F.col("_n") % 2 == 1) | F.col("_edge")).select(point_id)
     return points.join(covered, point_id, "left_semi")

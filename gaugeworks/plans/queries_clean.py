@@ -8,7 +8,7 @@ from gaugeworks.operators import clean, gaps, profile, validate
 from gaugeworks.plans import bindings as b
 from gaugeworks.plans.registry import query
 from gaugeworks.sources import readers, sinks
-from gaugeworks.sources.scratch import scratch_dir
+from gaugeworks.sources.scratch import materialise, scratch_dir
 
 DAY, HOUR = b.DAY, b.HOUR
 TEXT = ("station_id", "station_name", "timestamp", "reading_value", "location_latitude", "location_longitude")
@@ -29,10 +29,10 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch_dir(spark)
     rows = b.cleaned(spark, sf)
-    sinks.write_periods(rows, f"{root}/all")
-    for year in b.YEARS:
-        sinks.write_period(spark.read.parquet(f"{root}/all").where(F.col("year") == year), root, year)
-    found = readers.read_series(spark, root, range(1990, 2010), existing_only=True)
+    sinks.write_periods(rows, root)
+    # The periods are the table's own, as many as there are years.
+    years = [r.year for r in rows.select("year").distinct().collect()]
+    found = readers.read_series(spark, root, years, "year=")
     return found.groupBy("year").agg(F.count("*").alias("rows"), F.sum("rainfall").alias("total"))
 
 
@@ -69,10 +69,11 @@ def _(spark, sf):
 @query("S5_write_period", "SELECT year, count(*) AS rows FROM cleaned GROUP BY year", "cleaned")
 def _(spark, sf):
     root = scratch_dir(spark)
-    stored = spark.read.parquet(sinks.write_periods(b.cleaned(spark, sf), f"{root}/all"))
-    years = (*b.YEARS, b.YEARS[0])
-    paths = [sinks.write_period(stored.where(F.col("year") == y), root, y) for y in years]
-    return spark.read.parquet(*sorted(set(paths))).groupBy("year").agg(F.count("*").alias("rows"))
+    rows = b.cleaned(spark, sf)
+    sinks.write_periods(rows, root)
+    first = rows.agg(F.min("year")).first()[0]
+    sinks.write_period(rows.where(F.col("year") == first).drop("year"), root, first, "year=")
+    return spark.read.parquet(root).groupBy("year").agg(F.count("*").alias("rows"))
 
 
 @query("S6_write_new_partitioned", "SELECT split, year, count(*) AS rows FROM prepared GROUP BY split, year", "prepared")
@@ -80,14 +81,13 @@ def _(spark, sf):
     return sinks.write_new_partitioned(b.prepared(spark, sf), f"{scratch_dir(spark)}/prepared")
 
 
-@query("S7_write_sorted_single", """SELECT station_id, "timestamp", round(rainfall, 6) AS rainfall FROM dense
+@query("S7_write_sorted", """SELECT station_id, "timestamp", round(rainfall, 6) AS rainfall FROM dense
 WHERE station_id IN ('view', 'click') AND "timestamp" >= TIMESTAMP '2024-01-05' AND "timestamp" < TIMESTAMP '2024-01-07'
 """, "dense")
 def _(spark, sf):
     path = f"{scratch_dir(spark)}/extract"
     subset = clean.extract_subset(b.dense(spark, sf), HOUR, ("view", "click"), "2024-01-05", "2024-01-07")
-    sinks.write_sorted_single(subset, path, ["station_id", "timestamp"])
-    return spark.read.parquet(path)
+    return spark.read.parquet(sinks.write_sorted(subset, path, ["station_id", "timestamp"]))
 
 
 @query("S8_write_summary_csv", """SELECT station_id, year, observed_intervals, recorded_rainfall_mm
@@ -201,7 +201,9 @@ FROM aligned a LEFT JOIN (SELECT DISTINCT station_id, standard_name FROM ({CANON
 
 
 def _named(spark, sf):
-    return clean.apply_lookup(b.aligned(spark, sf), clean.name_dimension(_mapping(spark, sf), DAY), DAY)
+    # Written first, so that its size is known when the readings are joined.
+    names = materialise(clean.name_dimension(_mapping(spark, sf), DAY), "names")
+    return clean.apply_lookup(b.aligned(spark, sf), names, DAY)
 
 
 @query("C10_apply_lookup", f"""SELECT station_id, station_name, name_changed, unmapped, count(*) AS rows FROM ({NAMED})

@@ -79,7 +79,9 @@ def _(spark, sf):
                                       expected_counts={2024: 0})
 
 
-@query("M6_hash_sample")
+@query("M6_hash_sample", """SELECT station_id, split, threshold_mm, count(*) AS rows FROM examples
+WHERE CAST('0x' || md5(station_id || '|' || strftime(prediction_time, '%Y-%m-%d %H:%M:%S') || '|42')[1:8] AS BIGINT) / 4294967296.0 < 0.25
+GROUP BY ALL""", "examples")
 def _(spark, sf):
     kept = features.hash_sample(b.examples(spark, sf), ["station_id", "prediction_time"], 0.25, 42)
     return kept.groupBy("station_id", "split", "threshold_mm").agg(F.count("*").alias("rows"))
@@ -105,7 +107,8 @@ def _(spark, sf):
                         F.element_at("v", -1).alias("last_feature"))
 
 
-@query("M8_ordinal_encoder")
+@query("M8_ordinal_encoder", """SELECT station_id, CAST(row_number() OVER (ORDER BY station_id) - 1 AS DOUBLE) AS station_id_index,
+CAST(greatest(128, count(*) OVER () + 1) AS INTEGER) AS max_bins FROM (SELECT DISTINCT station_id FROM prepared WHERE split = 'train')""", "prepared")
 def _(spark, sf):
     train = _train(spark, sf)
     encoder, bins = models.ordinal_encoder(train)
@@ -124,8 +127,8 @@ def _predictions(spark, sf, model, split="test"):
 
 def _lr(regs):
     def candidates(train):
-        spread = models.variance_list(train)
-        return {f"reg={r}": models.monotone_lr(spread, r) for r in regs}
+        caps = models.coefficient_caps(models.feature_variances(train))
+        return {f"reg={r}": models.monotone_lr(caps, r) for r in regs}
 
     return candidates
 
@@ -216,7 +219,8 @@ def _(spark, sf):
     return evaluate.auc_rank(b.model_scores(spark, sf), ["model", "threshold_mm"])
 
 
-@query("M16_auc_binned")
+@query("M16_auc_binned", f"""SELECT * REPLACE (round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc)
+FROM ({_auc_sql('threshold_mm', '(SELECT * REPLACE (least(floor(p * 1000), 999) AS p) FROM scores)')})""", "scores")
 def _(spark, sf):
     return evaluate.auc_binned(b.scores(spark, sf))
 

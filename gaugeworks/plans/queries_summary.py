@@ -522,24 +522,34 @@ def _(spark, sf):
     return cells.select("ix", "iy", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
-# One concave ring and a square with a square hole, in the same metres as the projected points.
+# A concave ring, a square with a square hole, and a square over parts of both, in the metres of the projected points.
 RINGS = ((((9000.0, 21000.0), (26000.0, 23000.0), (30000.0, 31000.0), (21000.0, 28000.0), (12000.0, 33000.0), (9000.0, 21000.0)),),
          (((31000.0, 24000.0), (43000.0, 24000.0), (43000.0, 36000.0), (31000.0, 36000.0), (31000.0, 24000.0)),
-          ((35000.0, 28000.0), (39000.0, 28000.0), (39000.0, 32000.0), (35000.0, 32000.0), (35000.0, 28000.0))))
+          ((35000.0, 28000.0), (39000.0, 28000.0), (39000.0, 32000.0), (35000.0, 32000.0), (35000.0, 28000.0))),
+         (((20000.0, 22000.0), (37000.0, 22000.0), (37000.0, 30000.0), (20000.0, 30000.0), (20000.0, 22000.0)),))
+# Points on a vertex, on level and upright outlines, in the hole, and covered twice.
+MARKS = ((-1, 43000.0, 36000.0), (-2, 40000.0, 36000.0), (-3, 43000.0, 30000.0), (-4, 38000.0, 31000.0), (-5, 32000.0, 25000.0),
+         (-6, 36000.0, 29000.0), (-7, 35000.0, 31000.0), (-8, 44000.0, 36000.0), (-9, 24000.0, 25000.0))
 
 
 def _ring_edges():
-    for polygon in RINGS:
+    for number, polygon in enumerate(RINGS):
         for ring in polygon:
             for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
-                yield x1, y1, x2, y2
+                yield number, 0, x1, y1, x2, y2
 
 
-@query("X4_inside", f"""SELECT target_id FROM ({PLACES}) p JOIN (VALUES {', '.join(str(e) for e in _ring_edges())}) e(x1, y1, x2, y2)
-ON (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY target_id HAVING count(*) % 2 = 1""", "targets")
+@query("X4_inside", f"""SELECT DISTINCT target_id FROM (SELECT target_id, feature FROM (SELECT target_id, x, y FROM ({PLACES})
+  UNION ALL SELECT * FROM (VALUES {', '.join(map(str, MARKS))}) m(target_id, x, y)) p,
+  (VALUES {', '.join(str(e) for e in _ring_edges())}) e(feature, polygon, x1, y1, x2, y2)
+GROUP BY target_id, feature HAVING count(*) FILTER ((y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / nullif(y2 - y1, 0) + x1) % 2 = 1
+  OR bool_or((x - x1) * (y2 - y1) = (y - y1) * (x2 - x1) AND x BETWEEN least(x1, x2) AND greatest(x1, x2)
+    AND y BETWEEN least(y1, y2) AND greatest(y1, y2)))""", "targets")
 def _(spark, sf):
-    edges = spark.createDataFrame(list(_ring_edges()), "x1 double, y1 double, x2 double, y2 double")
-    return spatial.inside(_targets(spark, sf), edges, 500.0, "target_id").select("target_id")
+    edges = spark.createDataFrame(list(_ring_edges()), "feature int, polygon int, x1 double, y1 double, x2 double, y2 double")
+    marks = spark.createDataFrame(list(MARKS), "target_id long, x double, y double")
+    targets = _targets(spark, sf).select("target_id", "x", "y")
+    return spatial.inside(targets.unionByName(marks), edges, 500.0, "target_id").select("target_id")
 
 
 DISTANCES = f"""SELECT target_id, point_id, p.x, p.y, value, sqrt((p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y)) AS d

@@ -82,8 +82,8 @@ def train_lr(base: DataFrame, regs: Sequence[float] = (0.0, 0.01, 0.1),
              thresholds: Sequence[float] = LABEL_THRESHOLDS) -> tuple[PipelineModel, DataFrame]:
     """Monotone logistic regression, strength chosen on the validation split."""
     def candidates(train: DataFrame) -> dict[str, object]:
-        spread = models.variance_list(train)
-        return {f"reg={r}": models.monotone_lr(spread, r) for r in regs}
+        caps = models.coefficient_caps(models.feature_variances(train))
+        return {f"reg={r}": models.monotone_lr(caps, r) for r in regs}
 
     return models.train_and_select(base, candidates, thresholds, check=models.check_monotone_lr)
 
@@ -95,18 +95,18 @@ def train_forest(base: DataFrame, trees: int = 50, depths: Sequence[int] = (5, 8
         base, lambda _: {f"depth={d}": models.forest(trees, d, seed) for d in depths}, thresholds)
 
 
-def train_boosted(base: DataFrame, train_fraction: float = 0.01, validation_fraction: float = 0.1,
-                  max_iter: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42,
+def train_boosted(base: DataFrame, train_fraction: float = 0.01, max_iter: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42,
                   thresholds: Sequence[float] = LABEL_THRESHOLDS) -> tuple[PipelineModel, DataFrame]:
-    """Boosted trees on a hash sample of stations and times, drawn before rows are expanded.
+    """Boosted trees fitted on a hash sample of stations and times, drawn before rows are expanded.
 
-    The station categories still come from all training rows.
+    Only the rows that fit the trees are sampled: categories come from all training rows, and all
+    validation rows are scored.
     """
     train = base.where(F.col("split") == "train")
     encoder, bins = models.ordinal_encoder(train)
     keys = ["station_id", "prediction_time"]
     sampled = features.hash_sample(train, keys, train_fraction, seed).unionByName(
-        features.hash_sample(base.where(F.col("split") == "validation"), keys, validation_fraction, seed))
+        base.where(F.col("split") == "validation"))
     return models.train_and_select(
         sampled, lambda _: {"boosted": models.boosted(max_iter, depth, step, bins, seed)}, thresholds, encoder)
 

@@ -37,29 +37,23 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str],
     return require_columns(reader.csv(paths), required)
 
 
-def spread_scan(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer tasks than the session has cores.
-
-    A file with one row group is read by one task whatever its size. Inputs of many row
-    groups already have enough tasks and pass through unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def period_path(root: str, period: int, prefix: str = "rainfall_") -> str:
     return f"{root.rstrip('/')}/{prefix}{period}"
 
 
 def read_series(spark: SparkSession, root: str, periods: Iterable[int],
                 prefix: str = "rainfall_", existing_only: bool = False) -> DataFrame:
-    """One scan over several period folders; all must exist unless ``existing_only``."""
+    """One scan over several period folders; all must exist unless ``existing_only``.
+
+    With a prefix like ``year=`` the folders are partitions, and the period is read as a column.
+    """
     paths = [period_path(root, p, prefix) for p in periods]
     if existing_only:
         # A pattern skips the folders that are absent and still fails when none is there.
         names = ",".join(path.rsplit("/", 1)[1] for path in paths)
         paths = [f"{root.rstrip('/')}/{{{names}}}"]
-    return spark.read.parquet(*paths)
+    reader = spark.read.option("basePath", root) if prefix.endswith("=") else spark.read
+    return reader.parquet(*paths)
 
 
 def read_split(spark: SparkSession, root: str, split: str, schema: StructType | None = None) -> DataFrame:

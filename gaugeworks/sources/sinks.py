@@ -33,19 +33,14 @@ def write_new_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("split"
     return stored.groupBy(*by).agg(F.count("*").alias("rows"))
 
 
-def write_sorted_single(df: DataFrame, path: str, keys: Sequence[str],
-                        single_file_rows: int = 1_000_000) -> bool:
-    """Sorted extract. One file up to ``single_file_rows`` rows, else sorted range files.
+def write_sorted(df: DataFrame, path: str, keys: Sequence[str], files: int | None = None) -> str:
+    """Sorted extract in range files whose names follow the order of the keys.
 
-    Returns whether a single file was written.
+    ``files`` is the caller's choice; one file is one task, whatever its size.
     """
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    if small:
-        df.orderBy(*keys).coalesce(1).write.mode("overwrite").parquet(path)
-    else:
-        (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-         .write.mode("overwrite").parquet(path))
-    return small
+    ranged = df.repartitionByRange(*keys) if files is None else df.repartitionByRange(files, *keys)
+    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    return path
 
 
 def write_summary_csv(df: DataFrame, path: str, keys: Sequence[str] = ()) -> str:

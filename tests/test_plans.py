@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gaugeworks.operators import clean, evaluate, features, gaps, ranking
 from gaugeworks.plans import bindings as b
-from gaugeworks.sources.readers import spread_scan
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,9 +50,3 @@ def test_scans_read_only_needed_columns(spark, make, needed):
     plan = make(spark, SF)._jdf.queryExecution().executedPlan().toString()
     big = max(re.findall(r"ReadSchema: struct<([^>]*)>", plan), key=len)
     assert {c.split(":")[0] for c in big.split(",")} <= needed
-
-
-def test_wide_scans_are_not_shuffled(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert spread_scan(wide, "id") is wide
-    assert spread_scan(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism

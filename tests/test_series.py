@@ -171,7 +171,9 @@ def test_sampling_is_deterministic_and_keeps_keys_together(spark):
     kept = features.hash_sample(df, keys, 0.5, 42)
     assert sorted(rows(kept)) == sorted(rows(features.hash_sample(df.repartition(5), keys, 0.5, 42)))
     assert {r["count"] for r in kept.groupBy(*keys).count().collect()} == {4}
-    assert 0 < kept.count() < df.count() and features.hash_sample(df, keys, 1, 1) is df
+    assert 0 < kept.count() < df.count() and features.hash_sample(df, keys, 1, 1).count() == df.count()
+    with pytest.raises(ValueError, match="share"):
+        features.hash_sample(df, keys, 1e-12, 1)
 
 
 # --- lookup ---

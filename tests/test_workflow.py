@@ -98,17 +98,24 @@ def test_model_from_archive(spark, tmp_path):
 
 
 def test_single_class_and_bad_bounds_are_refused(spark):
-    with pytest.raises(ValueError, match="vary"):
-        models.monotone_lr([1.0, 0.0], 0.1)
-    with pytest.raises(ValueError, match="finite"):
-        models.monotone_lr([float("nan"), 1.0], 0.1)
+    def caps(*variances):
+        rows = [(i, v, v == 0.0) for i, v in enumerate(variances)]
+        return models.coefficient_caps(spark.createDataFrame(rows, "feature int, variance double, constant boolean"))
+
+    assert caps(1.0, 0.0, 2.0) == [models.COEFFICIENT_BOUND, 0.0, 0.0]
+    with pytest.raises(ValueError, match="threshold_does_not_vary"):
+        caps(1.0, 0.0)
+    with pytest.raises(ValueError, match="infinite_or_negative"):
+        caps(float("nan"), 1.0)
     with pytest.raises(ValueError):
         models.boosted(step=0.0)
 
 
-def test_sorted_extract_uses_one_file_only_when_small(spark, tmp_path):
+def test_sorted_extract_is_ordered_over_its_files(spark, tmp_path):
     df = spark.range(100).repartition(8)
-    assert sinks.write_sorted_single(df, str(tmp_path / "one"), ["id"])
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    assert not sinks.write_sorted_single(df, str(tmp_path / "many"), ["id"], single_file_rows=50)
-    assert spark.read.parquet(str(tmp_path / "many")).count() == 100
+    for files in (1, 4):
+        path = tmp_path / f"in{files}"
+        sinks.write_sorted(df, str(path), ["id"], files)
+        parts = sorted(path.glob("part-*"))
+        assert len(parts) == files
+        assert [r.id for p in parts for r in spark.read.parquet(str(p)).collect()] == list(range(100))
