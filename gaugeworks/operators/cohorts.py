@@ -307,12 +307,13 @@ def box_stats(df: DataFrame, by: str, value: str, bucket_width: float) -> DataFr
     quart = exact_percentiles(df, [by], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, bucket_width)
     fence = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - fence, F.col("q3") + fence)
-    marked = df.where(F.col(value).isNotNull()).join(quart, by).withColumn("_inside", inside)
+    counted = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_n"))
+    marked = counted.join(quart, by).withColumn("_inside", inside)
     return marked.groupBy(by).agg(
-        F.count("*").alias("n"), *[F.min(c).alias(c) for c in ("q1", "median", "q3")],
+        F.sum("_n").alias("n"), *[F.min(c).alias(c) for c in ("q1", "median", "q3")],
         F.min(F.when(F.col("_inside"), F.col(value))).alias("whisker_low"),
         F.max(F.when(F.col("_inside"), F.col(value))).alias("whisker_high"),
-        F.count_if(~F.col("_inside")).alias("outliers"))
+        F.sum(F.when(F.col("_inside"), 0).otherwise(F.col("_n"))).alias("outliers"))
 
 
 def gap_composition(gaps: DataFrame) -> DataFrame:

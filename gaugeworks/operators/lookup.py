@@ -1,8 +1,8 @@
 """Point-in-time features and outcomes for tables of requests.
 
 A request table holds ``request_id``, the id column, ``prediction_time`` and
-``threshold_mm``. Requests meet readings through equal (id, slot) keys; readings are
-reduced to one row per request slot before anything is grouped by request.
+``threshold_mm``. Readings are reduced to one row per (id, slot), and only those rows meet the
+requests' slots through equal keys.
 """
 
 from __future__ import annotations
@@ -42,16 +42,19 @@ def _slot_facts(moments: DataFrame, obs: DataFrame, s: SeriesSpec, offsets: Sequ
     Off-grid readings belong to the slot they fall into, except past the end of the window.
     """
     seconds = epoch_seconds(s.time)
-    readings = obs.select(
-        s.entity, floor_div(seconds, s.slot_seconds).alias("_slot"), F.pmod(seconds, F.lit(s.slot_seconds)).alias("_late"),
-        off_grid(s.time, s.slot_seconds).alias("_off"), bad_measure(s.value).alias("_bad"), F.col(s.value).alias("_v"))
-    last = max(offsets)
+    off, bad = off_grid(s.time, s.slot_seconds), bad_measure(s.value)
+    prompt = F.pmod(seconds, F.lit(s.slot_seconds)) == 0
+    slots = obs.groupBy(s.entity, floor_div(seconds, s.slot_seconds).alias("_slot")).agg(
+        F.count_if(~off).alias("_n"), F.max(F.when(~off, F.col(s.value))).alias("_v"),
+        F.count_if(off).alias("_off"), F.count_if(off & prompt).alias("_off_prompt"),
+        F.count_if(bad).alias("_bad"), F.count_if(bad & prompt).alias("_bad_prompt"))
     wanted = moments.select("*", F.explode(F.array(*[F.lit(o) for o in offsets])).alias("_offset")).withColumn(
         "_slot", F.col("_at") + F.col("_offset"))
-    hits = wanted.join(readings, [s.entity, "_slot"]).where((F.col("_offset") < last) | (F.col("_late") == 0))
-    return hits.groupBy(s.entity, "prediction_time", "_offset").agg(
-        F.count_if(~F.col("_off")).alias("_n"), F.max(F.when(~F.col("_off"), F.col("_v"))).alias("_v"),
-        F.count_if("_off").alias("_misaligned"), F.count_if("_bad").alias("_unusable"))
+    inner = F.col("_offset") < max(offsets)
+    return wanted.join(slots, [s.entity, "_slot"]).select(
+        s.entity, "prediction_time", "_offset", "_n", "_v",
+        F.when(inner, F.col("_off")).otherwise(F.col("_off_prompt")).alias("_misaligned"),
+        F.when(inner, F.col("_bad")).otherwise(F.col("_bad_prompt")).alias("_unusable"))
 
 
 def _quality(facts: DataFrame, s: SeriesSpec, extra: Sequence[Column] = ()) -> DataFrame:

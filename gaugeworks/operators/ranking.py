@@ -32,15 +32,16 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def exact_percentiles(df: DataFrame, by: Sequence[str], value: str | Column, probs: Mapping[str, float],
-                      bucket_width: float, count: str | None = None) -> DataFrame:
+                      bucket_width: float, count: str | None = None, weight: Column | None = None) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group.
 
     Values are counted before the first shuffle. Bucket totals, at most value range over
     ``bucket_width`` rows per group, locate the buckets holding the wanted ranks, and only
-    those are ordered. Null values do not count; a group of them has null percentiles.
+    those are ordered. Null values do not count; a group of them has null percentiles. A row
+    stands for ``weight`` rows if that is given.
     """
     value = F.col(value) if isinstance(value, str) else value
-    counts = (df.groupBy(*by, value.alias("_v")).agg(F.count("*").alias("_n"))
+    counts = (df.groupBy(*by, value.alias("_v")).agg((F.count("*") if weight is None else F.sum(weight)).alias("_n"))
               .withColumn("_b", F.floor(F.col("_v") / F.lit(float(bucket_width)))))
     group = Window.partitionBy(*by)
     running = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

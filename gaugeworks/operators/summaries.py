@@ -94,12 +94,15 @@ def median_location(df: DataFrame, by: Sequence[str], s: SeriesSpec, exact: bool
     if not exact:
         return df.groupBy(*by).agg(name, F.percentile_approx(s.latitude, 0.5).alias("latitude"),
                                    F.percentile_approx(s.longitude, 0.5).alias("longitude"))
+    # Places are few; the axes are told apart and the names taken after counting them.
+    places = df.groupBy(*by, s.latitude, s.longitude).agg(name, F.count("*").alias("_rows"))
     both = F.array(F.struct(F.lit("latitude").alias("axis"), F.col(s.latitude).cast("double").alias("at")),
                    F.struct(F.lit("longitude").alias("axis"), F.col(s.longitude).cast("double").alias("at")))
-    medians = exact_percentiles(df.select(*by, F.inline(both)), [*by, "axis"], "at", {"median": 0.5}, bucket_width)
+    medians = exact_percentiles(places.select(*by, "_rows", F.inline(both)), [*by, "axis"], "at", {"median": 0.5}, bucket_width,
+                                weight=F.col("_rows"))
     wide = medians.groupBy(*by).agg(*[F.max(F.when(F.col("axis") == a, F.col("median"))).alias(a)
                                       for a in ("latitude", "longitude")])
-    return join_same(df.groupBy(*by).agg(name), wide, list(by))
+    return join_same(places.groupBy(*by).agg(F.min(s.name).alias(s.name)), wide, list(by))
 
 
 def percentile_names(probs: Sequence[float]) -> dict[str, float]:

@@ -51,7 +51,8 @@ def validate_archive(clean_table: DataFrame, s: SeriesSpec = SeriesSpec()) -> Da
 
 
 def explore(clean_table: DataFrame, s: SeriesSpec = SeriesSpec()) -> dict[str, DataFrame]:
-    """The summary tables. The five grains share one scan; cache ``grains`` to reuse it."""
+    """The summary tables of a table without issues. The five grains share one written table."""
+    require_empty(validate_archive(clean_table, s), "The table is not fit to be summarised")
     rows = summaries.calendar_cols(clean_table, s.time)
     grains = materialise(summaries.metric_grains(rows, s), "grains")
 
@@ -111,6 +112,12 @@ def train_boosted(base: DataFrame, train_fraction: float = 0.01, max_iter: int =
         sampled, lambda _: {"boosted": models.boosted(max_iter, depth, step, bins, seed)}, thresholds, encoder)
 
 
+def store_model(model: PipelineModel, path: str, sample: DataFrame) -> str:
+    """Save a model and refuse it if, read back, it scores ``sample`` in another way."""
+    require_empty(models.roundtrip_diff(model, path, sample).where(~F.coalesce("identical", F.lit(False))), "The stored model differs")
+    return path
+
+
 def evaluate_model(base: DataFrame, model: PipelineModel, path: str,
                thresholds: Sequence[float] = LABEL_THRESHOLDS) -> dict[str, DataFrame]:
     """Score the test split once, store it, and evaluate what was stored."""
