@@ -214,6 +214,13 @@ def spatial_summary(station_year: DataFrame, s: SeriesSpec, years: Sequence[int]
                         ).withColumn("analysis_years", F.lit(",".join(map(str, years))))
 
 
+def spatial_rows(station_year: DataFrame, s: SeriesSpec, years: Sequence[int] = SPATIAL_YEARS,
+                 min_coverage: float = 80.0) -> DataFrame:
+    """The station-years behind the points of ``spatial_summary``."""
+    points = spatial_summary(station_year, s, years, min_coverage).select(s.entity)
+    return station_year.where(_in_years(years)).join(points, s.entity, "left_semi")
+
+
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str],
               tol: float = 1e-5, rel: float = 1e-10) -> DataFrame:
     """Keys whose totals differ between two tables, or that one of them lacks."""

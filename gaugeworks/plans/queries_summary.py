@@ -321,6 +321,13 @@ def _(spark, sf):
     return _points(spark, sf)
 
 
+@query("A8_spatial_rows", f"""SELECT station_id, year, observed_intervals, rainy_intervals, round(calendar_coverage_pct, 6) AS calendar_coverage_pct
+FROM placed WHERE year IN {MAP_YEARS} AND station_id IN (SELECT station_id FROM ({SPATIAL}))""", "placed")
+def _(spark, sf):
+    rows = cohorts.spatial_rows(b.placed_station_year(spark, sf), DAY, b.MAP_YEARS, b.COVERAGE[0])
+    return rows.select("station_id", "year", "observed_intervals", "rainy_intervals", "calendar_coverage_pct")
+
+
 @query("A9_reconcile", """SELECT year, left_observed_intervals, left_recorded_rainfall_mm, right_observed_intervals,
 right_recorded_rainfall_mm FROM (SELECT year, sum(observed_intervals)::DOUBLE AS left_observed_intervals,
 sum(recorded_rainfall_mm) AS left_recorded_rainfall_mm FROM station_month GROUP BY year) a FULL JOIN (
@@ -337,11 +344,13 @@ def _(spark, sf):
 
 
 @query("A9_reconcile_grains", """SELECT year, month, sum(observed_intervals)::DOUBLE AS left_observed_intervals,
-sum(rainy_intervals)::DOUBLE AS left_rainy_intervals, 0.0::DOUBLE AS right_observed_intervals,
-0.0::DOUBLE AS right_rainy_intervals FROM station_month WHERE false GROUP BY ALL""", "station_month")
+sum(rainy_intervals)::DOUBLE AS left_rainy_intervals, sum(observed_intervals)::DOUBLE + 2 AS right_observed_intervals,
+sum(rainy_intervals)::DOUBLE AS right_rainy_intervals FROM station_month WHERE year = 1996 AND month = 3 GROUP BY ALL""", "station_month")
 def _(spark, sf):
-    return cohorts.reconcile(b.station_month(spark, sf), _metrics(spark, sf, "year", "month"), ["year", "month"],
-                             ["observed_intervals", "rainy_intervals"])
+    """Station months against months with one count changed: that month, and no other, comes back."""
+    extra = F.when((F.col("year") == 1996) & (F.col("month") == 3), 2).otherwise(0)
+    other = _metrics(spark, sf, "year", "month").withColumn("observed_intervals", F.col("observed_intervals") + extra)
+    return cohorts.reconcile(b.station_month(spark, sf), other, ["year", "month"], ["observed_intervals", "rainy_intervals"])
 
 
 def _rate_sql(by: str, source: str) -> str:
