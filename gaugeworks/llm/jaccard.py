@@ -17,6 +17,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeworks.llm.common import LOWER_BYTES, byte_codes, mix, slices, text_key, utf8
@@ -229,15 +230,11 @@ def _pair_batch(left: list, right: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x, y], ["a", "b"])
 
 
-def _grams_of(width: int):
-    def run(batches):
-        grams = Grams(width)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 1024):
-                sets = list(grams.sets(*utf8(batch.column("text").slice(a, 1024))))
-                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "grams"])
-
-    return run
+def _compressed(batches):
+    pack = zstandard.ZstdCompressor()
+    for batch in batches:
+        texts = pa.array([pack.compress(t.as_buffer()) for t in batch.column("text")], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row_key"), texts], ["id", "row_key", "packed"])
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -251,11 +248,16 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return (100 + percent) * len(np.intersect1d(x, y, assume_unique=True)) >= need
 
 
-def _verify(percent: int):
+def _verify(width: int, percent: int):
     def run(batches):
+        grams, unpack = Grams(width), zstandard.ZstdDecompressor()
         for batch in batches:
-            good = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                    for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+            good = []
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                raw = [unpack.decompress(t.as_buffer()) for c in ("x", "y") for t in part.column(c)]
+                sets = list(grams.sets(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])))
+                good += [similar(x, y, percent) for x, y in zip(sets[:part.num_rows], sets[part.num_rows:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
@@ -286,16 +288,17 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     prefixes = rows.select("text").mapInArrow(_prefixes(width, percent, shared), "gram long, sid binary, n int, pos int")
     posts = materialise(prefixes.repartition("gram").sortWithinPartitions("gram", "sid").mapInArrow(
         _to_centres, "gram long, sid binary, n int, pos int, c_sid binary, c_n int, c_pos int"), "posts")
-    wanted = posts.select("sid").union(posts.select("c_sid")).distinct().join(nodes, "sid").select("at.doc_id", "at.row_key")
-    # Rows by id, where null counts as 0, and text: rows that this mixes up have one set.
+    # Rows by id, where null counts as 0, and text: rows that this mixes up have one set. A compressed
+    # text is a third of the hashes of its set, so texts travel to the verification.
     id_, key = F.coalesce("doc_id", F.lit(0)).alias("id"), ["id", "row_key"]
-    texts = rows.select(id_, "row_key", "text").join(wanted.select(id_, "row_key").distinct(), key, "left_semi").dropDuplicates(key)
-    sets = materialise(texts.select("text").mapInArrow(_grams_of(width), "sid binary, grams binary"), "sets")
+    wanted = posts.select("sid").union(posts.select("c_sid")).distinct().join(nodes, "sid").select("sid", "at.doc_id", "at.row_key")
+    packed = rows.select(id_, "row_key", "text").mapInArrow(_compressed, "id long, row_key long, packed binary")
+    texts = materialise(packed.join(wanted.select("sid", id_, "row_key").distinct(), key).dropDuplicates(key).select("sid", "packed"), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sets.select(F.col("sid").alias("b"), F.col("grams").alias("y")), "b").join(
-            sets.select(F.col("sid").alias("a"), F.col("grams").alias("x")), "a")
-        return materialise(both.select("a", "b", "x", "y").mapInArrow(_verify(percent), "a binary, b binary"), "links")
+        both = pairs.join(texts.select(F.col("sid").alias("b"), F.col("packed").alias("y")), "b").join(
+            texts.select(F.col("sid").alias("a"), F.col("packed").alias("x")), "a")
+        return materialise(both.select("a", "b", "x", "y").mapInArrow(_verify(width, percent), "a binary, b binary"), "links")
 
     most = F.least(F.col("n") - F.col("pos"), F.col("c_n") - F.col("c_pos"))
     near = posts.where((F.lit(100 + percent) * most >= F.lit(percent) * (F.col("n") + F.col("c_n")))
