@@ -272,17 +272,27 @@ def _apply(left: pa.Table, right: pa.Table) -> pa.Table:
 
 def _one_by_one(parts: int):
     """The strings of open questions, each a pointer of its own, by two independent 50-byte identifiers."""
+    def pointers_of(docs, rows, shown, pieces):
+        runs = [np.frombuffer(v, "<i8").reshape(-1, 2) for v in shown]
+        lo, n = np.concatenate(runs).T
+        owner = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
+        size = n - 1 + DEPTH
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(np.cumsum(size) - size, n) + within  # starts in the joined pieces; no string crosses two of them
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        owner = np.repeat(owner, n)
+        return (np.array(docs)[owner], np.array(rows)[owner], (np.repeat(lo, n) + within).astype(np.int32), np.ones(len(at), np.int32),
+                identifiers(data, 11)[1][at], identifiers(data, 13)[1][at])
+
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            for doc, row, shown, pieces in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "shown", "pieces")), strict=True):
-                data, at = np.frombuffer(pieces, np.uint8), 0
-                for lo, n in np.frombuffer(shown, "<i8").reshape(-1, 2).tolist():
-                    part = data[at:at + n - 1 + DEPTH]
-                    at += len(part)
-                    held.append((np.full(n, doc), np.full(n, row), (lo + np.arange(n)).astype(np.int32), np.ones(n, np.int32), identifiers(part, 11)[1], identifiers(part, 13)[1]))
-                    size += n
-                if size >= 1 << 19:
+            columns = [batch.column(c) for c in ("doc_id", "row", "shown", "pieces")]
+            _, offsets = utf8(columns[3])
+            for a, b in slices(offsets, 1 << 20):
+                held.append(pointers_of(*(c.slice(a, b - a).to_pylist() for c in columns)))
+                size += len(held[-1][0])
+                if size >= 1 << 20:
                     yield resolved(*map(np.concatenate, zip(*held, strict=True)), parts)
                     held, size = [], 0
         if held:
