@@ -7,7 +7,7 @@
    (n-gram, node) meet by n-gram; n-grams of one node fall away.
 3. Round one tries each node against one centre per n-gram, the node with the smallest id. That makes
    large groups of near copies stars, with as many pairs as members. Round two tries all pairs of an
-   n-gram's nodes that have not been linked to the same centre, so no link between components is lost.
+   n-gram's nodes that the stars leave in different components, so no link between components is lost.
 4. Each pair is verified once, on its full sets, after a suffix filter. Links form components.
 """
 
@@ -304,7 +304,7 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     near = posts.where((F.lit(100 + percent) * most >= F.lit(percent) * (F.col("n") + F.col("c_n")))
                        & (F.lit(100) * F.least("n", "c_n") >= F.lit(percent) * F.greatest("n", "c_n")))
     stars = verified(near.select(F.col("sid").alias("a"), F.col("c_sid").alias("b")).distinct())
-    label = stars.groupBy(F.col("a").alias("sid")).agg(F.min("b").alias("label"))
+    label = components(stars).select(F.col("node").alias("sid"), F.col("root").alias("label"))
     members = posts.select("gram", "sid", "n", "pos").union(posts.select("gram", "c_sid", "c_n", "c_pos").distinct())
     apart = (members.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid")).repartition("gram")
              .sortWithinPartitions("gram", "label").mapInArrow(_pairs_apart(percent), "a binary, b binary"))
