@@ -4,7 +4,7 @@ import corpus_pipeline
 from gaugeworks.llm import registered
 from gaugeworks.sources.scratch import materialise
 from test_fingerprints import LOW
-from test_jaccard import brute
+from test_jaccard import brute, shingles
 from test_packing import check
 
 SMALL = "/root/testdata/sf0.001"
@@ -55,3 +55,15 @@ def test_stages_on_odd_rows(spark, odd, none):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+def test_near_takes_five_words_and_eighty_percent(spark):
+    """Appended parts and scattered edits between the two limits, against all pairs."""
+    base = [f"w{i}" for i in range(104)]
+    texts = [base, base + [f"t{i}" for i in range(22)], base + [f"u{i}" for i in range(30)], [w if i not in (20, 60) else f"e{i}" for i, w in enumerate(base)]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(10 + i, " ".join(f"v{i}" for i in range(100 + 22 * i))) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [shingles(t, 5) for _, t in rows]
+    linked = {(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert linked == {(1, 0), (3, 0), (5, 4)}
+    assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, SMALL).collect()) == [0, 2, 10]
