@@ -40,12 +40,12 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar texts, the one with the smallest doc_id; wordless ones stay.
+    """One row of each component of similar texts, the one with the smallest (doc_id, row_key); wordless ones stay.
 
     Similar are texts whose sets of five-word n-grams have a Jaccard similarity of 0.8 or more.
     """
     linked = jaccard.linked(docs, width=5, percent=80)
-    return _one_each(docs, linked.where("n_shingles = 0 or doc_id <=> component_id"))
+    return _one_each(docs, linked.where("first"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -264,12 +264,14 @@ def _verify(width: int, percent: int):
 
 
 def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, and row_key.
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, row_key, and first.
 
     Two documents link when 100 * intersection >= percent * union of their sets of word n-grams (A-Z
     lower-cased). component_id is the smallest doc_id that links reach, the row's own included. A text of
     fewer words is one n-gram; null, empty and blank texts have none and link with nothing. Repeated
     rows and rows that share a doc_id are told apart by their text; a null doc_id never is the smallest.
+    first holds for the row of a component with the smallest (doc_id, row_key), nulls last, for its identical
+    copies, and for every row without words.
     Other columns are ignored; an empty table gives an empty result.
 
     N-grams and sets are told apart by 64- and 128-bit hashes. Every intermediate table is written to
@@ -283,7 +285,8 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
         counts[r["range"] * RANGE:(r["range"] + 1) * RANGE] = np.frombuffer(zlib.decompress(r["counts"]), "<i8")
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     lines = scan.where("range is null").select("doc_id", "row_key", "n", "sid")
-    nodes = lines.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "row_key")).alias("at"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    nodes = lines.where("n > 0").groupBy("sid").agg(F.min(place).alias("at"))
 
     prefixes = rows.select("text").mapInArrow(_prefixes(width, percent, shared), "gram long, sid binary, n int, pos int")
     posts = materialise(prefixes.repartition("gram").sortWithinPartitions("gram", "sid").mapInArrow(
@@ -310,7 +313,8 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
              .sortWithinPartitions("gram", "label").mapInArrow(_pairs_apart(percent), "a binary, b binary"))
     rest = verified(apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     roots = components(stars.union(rest))
-    member = nodes.select("sid", "first_id").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    firsts = materialise(member.join(member.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("sid", "component_id"), "firsts")
+    member = nodes.select("sid", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    firsts = materialise(member.join(member.groupBy("root").agg(F.min("at").alias("first")), "root").select("sid", "first"), "firsts")
     return lines.join(firsts, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"),
-                                                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "row_key")
+                                                    F.when(F.col("n") > 0, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "row_key",
+                                                    ((F.col("n") == 0) | place.eqNullSafe(F.col("first"))).alias("first"))

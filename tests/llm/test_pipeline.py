@@ -67,3 +67,13 @@ def test_near_takes_five_words_and_eighty_percent(spark):
     linked = {(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
     assert linked == {(1, 0), (3, 0), (5, 4)}
     assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, SMALL).collect()) == [0, 2, 10]
+
+
+def test_near_keeps_one_row_of_null_and_shared_ids(spark):
+    """Components whose rows all lack an id, share the smallest one, or have both kinds."""
+    words = lambda c: " ".join(f"{c}{i}" for i in range(80))
+    rows = [(None, words("a")), (None, words("a") + " x"), (None, words("a") + " y"), (3, words("b")), (3, words("b") + " x"), (4, words("b") + " y"),
+            (None, words("c")), (9, words("c") + " x"), (None, words("d")), (None, ""), (5, None), (5, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, (r.text or "")[:1]) for r in corpus_pipeline.near(spark, docs, SMALL).collect()]
+    assert Counter(kept) == Counter({(None, "a"): 1, (3, "b"): 1, (9, "c"): 1, (None, "d"): 1, (None, ""): 1, (5, ""): 1, (5, " "): 1})
