@@ -89,15 +89,17 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, block_rows: int = 8
     Returns query_id, rank (from 1), vec_id, score: integer inner products of floor(256 * x), ties to
     the smaller vec_id; all candidates if there are fewer than k. A query's own vec_id is no candidate.
     Vectors that are null, hold null or non-finite components, or have a null id take no part.
-    Vectors meet only those of their length; empty ones score 0. Identical rows count once; rows of one
-    vec_id with different vectors are separate candidates and separate queries. Other columns are ignored.
+    Vectors meet only those of their length; empty ones score 0. Every row is a candidate and, where
+    ``queries`` holds, a query of its own, also rows of one vec_id and identical ones. Other columns are ignored.
 
     The number of blocks and of query chunks follows the row counts, which are all the driver sees; every
     (block, chunk) is one task's worth of bounded size.
     """
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
-        F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding")).alias("v")).distinct()
-    rows = materialise(rows.withColumn("d", F.size("v")).withColumn("key", F.xxhash64("vec_id", "v")), "vectors")
+        F.col("vec_id").cast("long").alias("vec_id"), whole(F.col("embedding")).alias("v"))
+    counted = rows.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("copies"))
+    numbered = counted.select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    rows = materialise(numbered.select("vec_id", "v", F.size("v").alias("d"), F.xxhash64("vec_id", "v", "copy").alias("key")), "vectors")
     n, m = rows.agg(F.count(F.lit(1)), F.count_if(queries)).first()
     blocks, chunks = max(1, -(-n // block_rows)), max(1, -(-m // query_rows))
     spread = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))

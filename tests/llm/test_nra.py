@@ -51,3 +51,12 @@ def test_large_components_use_whole_numbers():
 
 def test_empty(spark):
     assert nra.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [2, 8192])
+def test_repeated_rows_keep_their_places(spark, block_rows):
+    """Copies, also those that are equal only after rounding down, against all pairs of rows; a repeated query asks twice."""
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.5, 0.0]), (1, [0.501, 0.001]), (2, [0.75, 1.0]), (3, [0.25, 0.0])]
+    found = nra.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, block_rows=block_rows)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(
+        [(0, rank + 1, i, s * 256) for rank, (i, s) in enumerate([(2, 192), (1, 128), (1, 128), (1, 128), (3, 64)])] * 2)
