@@ -33,7 +33,7 @@ BASE = {
 FURTHER = {
     "account": r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?|[0-9]{13,19})(?![A-Za-z0-9])",
     "identity": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,128}(?![A-Za-z0-9_-])",
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{16,}+(?![A-Za-z0-9_-])",
 }
 #: Strict shapes, key words (in lower case, up to BEFORE characters before the span) and assignments.
 SHAPES = {"account": r"^[A-Z]{2}[0-9]{2}", "identity": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",

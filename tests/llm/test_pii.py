@@ -79,3 +79,12 @@ def test_reliabilities(spark):
 def test_no_python_in_the_plan(spark, documents):
     plan = pii.found(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_tokens_are_candidates(spark):
+    """Runs of 16 characters and more, whatever their length."""
+    key = {n: (hashlib.sha256(str(n).encode()).hexdigest() * (n // 64 + 1))[:n] for n in (15, 16, 40, 128, 129, 400, 20_000)}
+    docs = spark.createDataFrame([(n, f'token = "{k}" and more') for n, k in key.items()], "doc_id long, text string")
+    spans = docs.select("doc_id", pii.candidates(docs.text).alias("c")).collect()
+    found = {r.doc_id: [(c.start, c.end) for c in r.c if c.kind == "secret"] for r in spans}
+    assert found == {n: [(9, 9 + n)] if n >= 16 else [] for n in key}
