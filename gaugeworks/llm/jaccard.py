@@ -263,7 +263,7 @@ def _verify(width: int, percent: int):
     return run
 
 
-def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
+def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, row_key, and first.
 
     Two documents link when 100 * intersection >= percent * union of their sets of word n-grams (A-Z
@@ -272,6 +272,10 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     rows and rows that share a doc_id are told apart by their text; a null doc_id never is the smallest.
     first holds for the row of a component with the smallest (doc_id, row_key), nulls last, for its identical
     copies, and for every row without words.
+
+    Links inside a component are not all verified, only enough to find it. With ``all_links`` every pair that
+    passes the filters is verified, which grows with the square of a group of similar sets, and the
+    result has links: the number of other rows that the row links with, those of its own set included.
     Other columns are ignored; an empty table gives an empty result.
 
     N-grams and sets are told apart by 64- and 128-bit hashes. Every intermediate table is written to
@@ -306,7 +310,9 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     most = F.least(F.col("n") - F.col("pos"), F.col("c_n") - F.col("c_pos"))
     near = posts.where((F.lit(100 + percent) * most >= F.lit(percent) * (F.col("n") + F.col("c_n")))
                        & (F.lit(100) * F.least("n", "c_n") >= F.lit(percent) * F.greatest("n", "c_n")))
-    stars = verified(near.select(F.col("sid").alias("a"), F.col("c_sid").alias("b")).distinct())
+    starred = near.select(F.col("sid").alias("a"), F.col("c_sid").alias("b")).distinct()
+    # Without stars every set is a component of its own, and round two takes all pairs.
+    stars = verified(starred.limit(0) if all_links else starred)
     label = components(stars).select(F.col("node").alias("sid"), F.col("root").alias("label"))
     members = posts.select("gram", "sid", "n", "pos").union(posts.select("gram", "c_sid", "c_n", "c_pos").distinct())
     apart = (members.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid")).repartition("gram")
@@ -315,6 +321,14 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     roots = components(stars.union(rest))
     member = nodes.select("sid", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     firsts = materialise(member.join(member.groupBy("root").agg(F.min("at").alias("first")), "root").select("sid", "first"), "firsts")
-    return lines.join(firsts, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"),
+    result = lines.join(firsts, "sid", "left")
+    more = []
+    if all_links:
+        weight = lines.where("n > 0").groupBy("sid").agg(F.count(F.lit(1)).alias("rows"))
+        both = rest.union(rest.select("b", "a")).select(F.col("a").alias("of"), F.col("b").alias("sid"))
+        others = both.join(weight, "sid").groupBy(F.col("of").alias("sid")).agg(F.sum("rows").alias("others"))
+        result = result.join(weight, "sid", "left").join(others, "sid", "left")
+        more = [F.when(F.col("n") > 0, F.col("rows") - 1 + F.coalesce("others", F.lit(0))).otherwise(0).alias("links")]
+    return result.select("doc_id", F.col("n").alias("n_shingles"),
                                                     F.when(F.col("n") > 0, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"), "row_key",
-                                                    ((F.col("n") == 0) | place.eqNullSafe(F.col("first"))).alias("first"))
+                                                    ((F.col("n") == 0) | place.eqNullSafe(F.col("first"))).alias("first"), *more)

@@ -98,3 +98,15 @@ def test_components(spark):
         for a, b in links:
             root[a] = root[b] = min(root[a], root[b])
     assert found == root
+
+
+def test_all_links(spark):
+    """Links of each row against all pairs, in a group of near copies with different and equal texts."""
+    base = [f"w{i}" for i in range(90)]
+    texts = [" ".join(base + [f"x{k}_{i}" for i in range(k)]) for k in (0, 1, 2, 5, 9, 12)]
+    rows = list(enumerate([*texts, texts[1], texts[1].upper(), "a b", "", None]))
+    sets = [shingles(t) for _, t in rows]
+    near = lambda i, j: i != j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    found = jaccard.linked(spark.createDataFrame(rows, "doc_id long, text string"), all_links=True).collect()
+    assert {r.doc_id: r.links for r in found} == {i: sum(bool(near(i, j)) for j in range(len(rows))) for i in range(len(rows))}
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows)
