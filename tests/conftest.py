@@ -19,7 +19,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]

@@ -4,7 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import cohorts, features, gaps, lookup, spatial, summaries, validate

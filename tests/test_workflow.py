@@ -5,7 +5,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
