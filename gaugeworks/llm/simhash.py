@@ -219,8 +219,9 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _meet(nodes: DataFrame, all_keys: bool) -> DataFrame:
-    """Links (a, b) between labels of ``nodes`` (print, label) that share a key."""
-    posts = nodes.mapInArrow(_keyed(all_keys), "key long, print long, label long")
+    """Links (a, b) between labels of ``nodes`` (print, label) that share a key. Nodes are dealt out first: each makes many rows."""
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    posts = nodes.repartition(tasks, "print").mapInArrow(_keyed(all_keys), "key long, print long, label long")
     return materialise(posts.repartition("key").sortWithinPartitions("key", "label").mapInArrow(_joined, "a long, b long"), "links")
 
 
