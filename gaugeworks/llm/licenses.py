@@ -2,9 +2,10 @@
 
 Every word pair of every text meets the positions of that pair in the templates, as a Spark join. A hit at
 word i of the text and word j of the template votes for the diagonal i - j. Votes are added up per
-(text, template, diagonal); diagonals no more than ``DRIFT`` apart merge, so that a word more or less does no harm;
-merged spans are verified by the share of the template's pairs they cover and by their length. A phrase
-stands at a place where one diagonal has all of its pairs.
+(text, template, diagonal). Diagonals are looked at in overlapping windows twice as wide as the template is long; there
+those no more than ``DRIFT`` apart merge, so that a word more or less does no harm, and the merged span is
+verified by the share of the template's pairs it covers. Pairs that repeat for long after a statement lie in later windows
+and take nothing from it. A phrase stands at a place where one diagonal has all of its pairs.
 """
 
 from __future__ import annotations
@@ -45,10 +46,9 @@ def _positions(spark, phrases, templates) -> DataFrame:
         "hash", F.xxhash64("first", "second"))
 
 
-def pairs(text: Column) -> Column:
-    """The rolling pairs of a text's words as (word, word)."""
-    found = F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
-    return F.arrays_zip(found.alias("first"), F.slice(found, F.lit(2), F.greatest(F.size(found) - 1, F.lit(0))).alias("second"))
+def words(text: Column) -> Column:
+    """The words of a text, in order."""
+    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
 
 
 def scanned(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
@@ -66,27 +66,28 @@ def scanned(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
     spark = docs.sparkSession
     key = ["doc_id", "row_key"]
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", text_key(F.col("text")))
-    rolled = rows.select(*key, F.posexplode(pairs(F.col("text"))).alias("i", "pair")).select(*key, "i", "pair.*")
+    # The words are a column of their own: inside the generator they would be taken three times.
+    first = rows.select(*key, words(F.col("text")).alias("words")).select(*key, "words", F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0))).alias("after"))
+    rolled = first.select(*key, F.posexplode(F.arrays_zip("words", "after")).alias("i", "pair")).select(*key, "i", "pair.*")
     rolled = rolled.toDF(*key, "i", "word", "next").withColumn("hash", F.xxhash64("word", "next"))
     places = F.broadcast(_positions(spark, phrases, templates))
     hits = (rolled.join(places, "hash").where("word = first and next = second")
             .groupBy(*key, "template", "i", "j").agg(F.first("n").alias("n"), F.first("label").alias("label"), F.first("phrase").alias("phrase")))
-    votes = hits.groupBy(*key, "template", "n", "label", "phrase", (F.col("i") - F.col("j")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("votes"), F.min("i").alias("start"), F.max("i").alias("stop"), F.collect_set("j").alias("found"))
-    order = Window.partitionBy(*key, "template").orderBy("diagonal")
-    merged = votes.withColumn("apart", (F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT).cast("int")).withColumn(
+    whose = [*key, "template", "n", "label", "phrase"]
+    votes = hits.groupBy(*whose, (F.col("i") - F.col("j")).alias("diagonal")).agg(
+        F.count(F.lit(1)).alias("votes"), F.min("i").alias("start"), F.collect_set("j").alias("found"))
+    window = F.floor(F.col("diagonal") / F.col("n"))
+    near = votes.where("not phrase").withColumn("window", F.explode(F.array(window, window - 1)))
+    order = Window.partitionBy(*key, "template", "window").orderBy("diagonal")
+    bands = near.withColumn("apart", (F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT).cast("int")).withColumn(
         "band", F.sum(F.coalesce("apart", F.lit(0))).over(order))
-    spans = merged.groupBy(*key, "template", "n", "label", "phrase", "band").agg(
-        F.sum(F.when(F.col("phrase") & (F.col("votes") == F.col("n") - 1), 1).otherwise(0)).alias("places"),
-        F.min(F.when(F.col("phrase") & (F.col("votes") == F.col("n") - 1), F.col("start"))).alias("first"),
-        F.max(F.when(F.col("phrase") & (F.col("votes") == F.col("n") - 1), F.col("start"))).alias("last"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("covered"),
-        (F.max("stop") - F.min("start") + 2).alias("length"))
-    share = F.when(F.col("phrase"), (F.col("places") > 0).cast("double")).otherwise(
-        F.when(F.col("length") <= F.col("n") * (1 + DRIFT), F.col("covered") / (F.col("n") - 1)).otherwise(0.0))
-    verified = spans.withColumn("share", share).where(F.col("share") >= COVER)
-    found = verified.groupBy(*key).agg(
-        F.sum("places").alias("n_base"), F.min("first").alias("first_word"), F.max("last").alias("last_word"),
+    covered = F.size(F.array_distinct(F.flatten(F.collect_list("found"))))
+    none = F.lit(None).cast("int")
+    spans = bands.groupBy(*whose, "window", "band").agg(covered.alias("covered")).select(
+        *key, "label", "phrase", none.alias("start"), (F.col("covered") / (F.col("n") - 1)).alias("share")).where(F.col("share") >= COVER)
+    stands = votes.where("phrase and votes = n - 1").select(*key, "label", "phrase", "start", F.lit(1.0).alias("share"))
+    found = spans.union(stands).groupBy(*key).agg(
+        F.count_if("phrase").alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"),
         F.sort_array(F.collect_set(F.when(F.col("phrase"), F.col("label")))).alias("base_labels"),
         F.sort_array(F.collect_set("label")).alias("labels"), F.max("share").alias("score"))
     counted = rows.select(*key, F.regexp_count("text", F.lit(WORD.replace("x60", "x40\\x5B-\\x60"))).cast("long").alias("n_words"))
