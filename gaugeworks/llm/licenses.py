@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeworks.llm.common import ascii_lower, null_safe, text_key
+from gaugeworks.sources.scratch import materialise
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 DRIFT, COVER = 2, 0.6
@@ -60,7 +61,7 @@ def scanned(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
     found, 0 to 1. Null and empty texts have no words. Rows that share a doc_id are told apart by their text;
     identical rows get identical results. Other columns are ignored; an empty table gives an empty result.
 
-    Templates are a fixed list, so their side is broadcast. Only hits are grouped, by text and template, and only
+    Templates are a fixed list, so their side is broadcast. Votes are written to the shared folder. Only hits are grouped, by text and template, and only
     narrow rows are joined back.
     """
     spark = docs.sparkSession
@@ -76,6 +77,7 @@ def scanned(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> DataFrame:
     whose = [*key, "template", "n", "label", "phrase"]
     votes = hits.groupBy(*whose, (F.col("i") - F.col("j")).alias("diagonal")).agg(
         F.count(F.lit(1)).alias("votes"), F.min("i").alias("start"), F.collect_set("j").alias("found"))
+    votes = materialise(votes, "votes")  # phrases and templates share one pass over the texts
     window = F.floor(F.col("diagonal") / F.col("n"))
     near = votes.where("not phrase").withColumn("window", F.explode(F.array(window, window - 1)))
     order = Window.partitionBy(*key, "template", "window").orderBy("diagonal")
