@@ -264,12 +264,11 @@ def common_entity_summary(station_year: DataFrame, s: SeriesSpec, years: Sequenc
     return sums.withColumns({**rates(""), **rates("all_")}).drop(*[f"all_{c}" for c in TOTALS])
 
 
-def monthly_accumulation(station_month: DataFrame, min_coverage: float = 90.0,
-                         bucket_width: float = 10.0) -> DataFrame:
+def monthly_accumulation(station_month: DataFrame, min_coverage: float = 90.0) -> DataFrame:
     """Median and quartiles of well-covered monthly totals; months without any stay as null rows."""
     good = station_month.where(F.col("calendar_coverage_pct") >= min_coverage)
     found = exact_percentiles(good, ["month"], "recorded_rainfall_mm",
-                              {"median_mm": 0.5, "q25_mm": 0.25, "q75_mm": 0.75}, bucket_width,
+                              {"median_mm": 0.5, "q25_mm": 0.25, "q75_mm": 0.75},
                               count="n_station_months")
     return _values(station_month, "month", list(range(1, 13))).join(found, "month", "left")
 
@@ -309,9 +308,9 @@ def eligible_counts(station_year: DataFrame, s: SeriesSpec, min_coverage: float
         F.count_if(F.col("calendar_coverage_pct") >= min_coverage).alias("eligible_station_years"))
 
 
-def box_stats(df: DataFrame, by: str, value: str, bucket_width: float) -> DataFrame:
+def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and the number of outliers of each group."""
-    quart = exact_percentiles(df, [by], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, bucket_width)
+    quart = exact_percentiles(df, [by], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     fence = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - fence, F.col("q3") + fence)
     counted = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_n"))

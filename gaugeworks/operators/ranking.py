@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gaugeworks.functions.order import order_image
+
 
 def top_rows(df: DataFrame, k: int, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
     """First ``k`` rows in ``order``, overall or of each group.
@@ -31,46 +33,63 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
+# Bits of the order image that are settled before the values of a bucket are put in order, and per level.
+LEVEL_BITS, LEVELS = 16, 3
+
+
 def exact_percentiles(df: DataFrame, by: Sequence[str], value: str | Column, probs: Mapping[str, float],
-                      bucket_width: float, count: str | None = None, weight: Column | None = None) -> DataFrame:
+                      count: str | None = None, weight: Column | None = None) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group.
 
-    Values are counted before the first shuffle. Bucket totals, at most value range over
-    ``bucket_width`` rows per group, locate the buckets holding the wanted ranks, and only
-    those are ordered. Null values do not count; a group of them has null percentiles. A row
-    stands for ``weight`` rows if that is given.
+    Values are counted before the first shuffle. A double's order image is then descended 16 bits a level:
+    totals per bucket locate the wanted ranks, and only buckets that hold one go on to the next level, so
+    that a window orders at most 2**16 buckets or doubles, whatever the range or the number of values. Totals of
+    all levels are added up from the finest one, so the values are read and shuffled once. Null values do
+    not count; a group of them has null percentiles. A row stands for ``weight`` rows if that is given.
     """
     value = F.col(value) if isinstance(value, str) else value
-    counts = (df.groupBy(*by, value.alias("_v")).agg((F.count("*") if weight is None else F.sum(weight)).alias("_n"))
-              .withColumn("_b", F.floor(F.col("_v") / F.lit(float(bucket_width)))))
+    number = F.count("*") if weight is None else F.sum(weight)
+    counts = (df.groupBy(*by, value.alias("_v")).agg(number.alias("_n"))
+              .select(*by, "_v", F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0).alias("_n"),
+                      F.shiftright(order_image(F.col("_v")), LEVEL_BITS).alias("_b")))
+    totals = [counts.groupBy(*by, "_b").agg(F.sum("_n").alias("_n"))]
+    for _ in range(LEVELS - 1):
+        up = F.shiftright("_b", LEVEL_BITS).alias("_b")
+        totals.append(totals[-1].groupBy(*by, up).agg(F.sum("_n").alias("_n")))
+
     group = Window.partitionBy(*by)
-    running = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    present = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
-    placed = (counts.groupBy(*by, "_b").agg(F.sum(present).alias("_m"))
-              .withColumn("_end", F.sum("_m").over(running))
-              .withColumn("_all", F.sum("_m").over(group))
-              .withColumn("_start", F.col("_end") - F.col("_m")))
     wanted = []
     for name, p in probs.items():
         rank = F.lit(float(p)) * (F.col("_all") - 1)
         wanted.append(F.struct(F.lit(name).alias("p"), F.floor(rank).alias("lo"), F.ceil(rank).alias("hi"),
                                (rank - F.floor(rank)).alias("part")))
 
-    def touches(x: Column) -> Column:
-        lo_in = (x["lo"] >= F.col("_start")) & (x["lo"] < F.col("_end"))
-        hi_in = (x["hi"] >= F.col("_start")) & (x["hi"] < F.col("_end"))
-        return lo_in | hi_in
+    def holding(buckets: DataFrame) -> DataFrame:
+        """Buckets with a wanted rank, from running ends and the ranks of the bucket above."""
+        first = F.col("_end") - F.col("_n")
+
+        def touches(x: Column) -> Column:
+            return ((x["lo"] >= first) & (x["lo"] < F.col("_end"))) | ((x["hi"] >= first) & (x["hi"] < F.col("_end")))
+
+        return (buckets.withColumn("_ranks", F.filter("_ranks", touches))
+                .where((F.size("_ranks") > 0) | (F.col("_all") == 0))
+                .select(*by, F.col("_b").alias("_up"), first.alias("_start"), "_all", "_ranks"))
+
+    def running(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.withColumn("_end", F.col("_start") + F.sum("_n").over(w))
 
-    needed = (placed.withColumn("_ranks", F.filter(F.array(*wanted), touches))
-              .where((F.size("_ranks") > 0) | (F.col("_all") == 0)).drop("_m", "_end"))
-    in_bucket = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (join_same(counts, needed, [*by, "_b"])
-              .withColumn("_to", F.col("_start") + F.sum("_n").over(in_bucket))
-              .withColumn("_from", F.col("_to") - F.col("_n"))
-              .select(*by, "_v", "_all", "_from", "_to", F.inline_outer("_ranks")))
+    top = totals.pop().withColumns({"_start": F.lit(0), "_all": F.sum("_n").over(group)})
+    found = holding(running(top.withColumn("_ranks", F.array(*wanted)), by, "_b"))
+    while totals:
+        finer = totals.pop().withColumn("_up", F.shiftright("_b", LEVEL_BITS))
+        found = holding(running(join_same(finer, found, [*by, "_up"]), [*by, "_up"], "_b"))
+    last = join_same(counts.withColumnRenamed("_b", "_up"), found, [*by, "_up"])
+    ranked = (running(last, [*by, "_up"], "_v").withColumn("_from", F.col("_end") - F.col("_n"))
+              .select(*by, "_v", "_all", "_from", "_end", F.inline_outer("_ranks")))
 
     def at(name: str, rank: str, out: Column) -> Column:
-        hit = (F.col("p") == name) & (F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_to"))
+        hit = (F.col("p") == name) & (F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_end"))
         return F.max(F.when(hit, out))
 
     picked = ranked.groupBy(*by).agg(
@@ -78,7 +97,7 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str | Column, pro
         *[at(n, "lo", F.col("_v")).alias(f"_lo_{n}") for n in probs],
         *[at(n, "hi", F.col("_v")).alias(f"_hi_{n}") for n in probs],
         *[at(n, "lo", F.col("part")).alias(f"_part_{n}") for n in probs])
-    found = [(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n)
-             for n in probs]
+    lo, hi = ({n: F.col(f"_{side}_{n}") for n in probs} for side in ("lo", "hi"))
+    between = [F.when(lo[n] == hi[n], lo[n]).otherwise(lo[n] + (hi[n] - lo[n]) * F.col(f"_part_{n}")).alias(n) for n in probs]
     extra = [F.col("_all").alias(count)] if count else []
-    return picked.select(*by, *extra, *found)
+    return picked.select(*by, *extra, *between)

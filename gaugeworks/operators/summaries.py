@@ -87,8 +87,7 @@ def metric_grains(df: DataFrame, s: SeriesSpec,
     return _with_rates(out, thresholds)
 
 
-def median_location(df: DataFrame, by: Sequence[str], s: SeriesSpec, exact: bool = False,
-                    bucket_width: float = 0.01) -> DataFrame:
+def median_location(df: DataFrame, by: Sequence[str], s: SeriesSpec, exact: bool = False) -> DataFrame:
     """Smallest name and median coordinates per group: bounded sketch, or exact on request."""
     name = F.min(s.name).alias(s.name)
     if not exact:
@@ -98,7 +97,7 @@ def median_location(df: DataFrame, by: Sequence[str], s: SeriesSpec, exact: bool
     places = df.groupBy(*by, s.latitude, s.longitude).agg(name, F.count("*").alias("_rows"))
     both = F.array(F.struct(F.lit("latitude").alias("axis"), F.col(s.latitude).cast("double").alias("at")),
                    F.struct(F.lit("longitude").alias("axis"), F.col(s.longitude).cast("double").alias("at")))
-    medians = exact_percentiles(places.select(*by, "_rows", F.inline(both)), [*by, "axis"], "at", {"median": 0.5}, bucket_width,
+    medians = exact_percentiles(places.select(*by, "_rows", F.inline(both)), [*by, "axis"], "at", {"median": 0.5},
                                 weight=F.col("_rows"))
     wide = medians.groupBy(*by).agg(*[F.max(F.when(F.col("axis") == a, F.col("median"))).alias(a)
                                       for a in ("latitude", "longitude")])
@@ -110,8 +109,7 @@ def percentile_names(probs: Sequence[float]) -> dict[str, float]:
 
 
 def tail_percentiles(df: DataFrame, by: Sequence[str], s: SeriesSpec,
-                     probs: Sequence[float] = TAIL_PERCENTILES, exact: bool = False,
-                     bucket_width: float = 1.0) -> DataFrame:
+                     probs: Sequence[float] = TAIL_PERCENTILES, exact: bool = False) -> DataFrame:
     """Percentiles of the positive values and their number; null percentiles where there are none."""
     wet = F.when(F.col(s.value) > 0, F.col(s.value))
     names = percentile_names(probs)
@@ -121,7 +119,7 @@ def tail_percentiles(df: DataFrame, by: Sequence[str], s: SeriesSpec,
         out = df.groupBy(*by).agg(count, sketch)
         return out.select(*by, "positive_intervals",
                           *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(names)])
-    return exact_percentiles(df, by, wet, names, bucket_width, count="positive_intervals")
+    return exact_percentiles(df, by, wet, names, count="positive_intervals")
 
 
 def histogram(df: DataFrame, by: Sequence[str], s: SeriesSpec,

@@ -97,7 +97,7 @@ def _tails_sql(by: str, source: str) -> str:
 
 @query("E9_tail_percentiles", _tails_sql("station_id", "events_"), "events_")
 def _(spark, sf):
-    return summaries.tail_percentiles(b.events_(spark, sf), ["station_id"], b.HOUR, b.TAILS, exact=True, bucket_width=0.5)
+    return summaries.tail_percentiles(b.events_(spark, sf), ["station_id"], b.HOUR, b.TAILS, exact=True)
 
 
 @query("E9_tail_percentiles_annual", _tails_sql("year", "daily"), "daily")
@@ -105,6 +105,22 @@ def _(spark, sf):
     return summaries.tail_percentiles(b.daily(spark, sf), ["year"], DAY, b.TAILS, exact=True)
 
 
+# Readings scaled to nine orders of magnitude, some of them null or below zero.
+WIDE = """SELECT station_id, CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 7 = 0 THEN -rainfall ELSE rainfall * pow(10.0, event_id % 10) / 10000.0 END AS rainfall FROM events_"""
+
+
+def _wide(spark, sf):
+    n, v = F.col("event_id"), F.col("rainfall")
+    scaled = (F.when(n % 101 == 0, None).when(n % 7 == 0, -v)
+              .otherwise(v * F.pow(F.lit(10.0), n % 10) / 10000.0))
+    return b.events_(spark, sf).select("station_id", scaled.cast("double").alias("rainfall"))
+
+
+@query("E9_tail_percentiles_wide", _tails_sql("station_id", f"({WIDE})"), "events_")
+def _(spark, sf):
+    return summaries.tail_percentiles(_wide(spark, sf), ["station_id"], b.HOUR, b.TAILS, exact=True)
+
+
 @query("E9_tail_percentiles_sketch")
 def _(spark, sf):
     return summaries.tail_percentiles(b.daily(spark, sf), ["year"], DAY, b.TAILS)
@@ -433,23 +449,28 @@ def _(spark, sf):
     return cohorts.eligible_counts(b.station_year(spark, sf), DAY, 60.0)
 
 
-def _box_sql(source: str, value: str) -> str:
-    return f"""SELECT year, count(*) AS n, round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median,
+def _box_sql(source: str, value: str, by: str = "year") -> str:
+    return f"""SELECT {by}, count(*) AS n, round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median,
 round(any_value(q3), 6) AS q3, round(min({value}) FILTER (ok), 6) AS whisker_low,
 round(max({value}) FILTER (ok), 6) AS whisker_high, count(*) FILTER (NOT ok) AS outliers
 FROM (SELECT *, {value} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS ok FROM {source} JOIN (
-SELECT year, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median, quantile_cont({value}, 0.75) AS q3
-FROM {source} GROUP BY year) USING (year)) GROUP BY year"""
+SELECT {by}, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median, quantile_cont({value}, 0.75) AS q3
+FROM {source} GROUP BY {by}) USING ({by})) GROUP BY {by}"""
 
 
 @query("A18_box_stats", _box_sql("station_year", "calendar_coverage_pct"), "station_year")
 def _(spark, sf):
-    return cohorts.box_stats(b.station_year(spark, sf), "year", "calendar_coverage_pct", 1.0)
+    return cohorts.box_stats(b.station_year(spark, sf), "year", "calendar_coverage_pct")
 
 
 @query("A18_box_stats_readings", _box_sql("daily", "rainfall"), "daily")
 def _(spark, sf):
-    return cohorts.box_stats(b.daily(spark, sf), "year", "rainfall", 5.0)
+    return cohorts.box_stats(b.daily(spark, sf), "year", "rainfall")
+
+
+@query("A18_box_stats_wide", _box_sql(f"(SELECT * FROM ({WIDE}) WHERE rainfall IS NOT NULL)", "rainfall", "station_id"), "events_")
+def _(spark, sf):
+    return cohorts.box_stats(_wide(spark, sf), "station_id", "rainfall")
 
 
 LONG = ", ".join(f"'{c}'" for c in GAP_CLASSES[2:])

@@ -8,6 +8,7 @@ import pytest
 from compare import rows
 from pyspark.sql import functions as F
 
+from gaugeworks.functions.order import order_image
 from gaugeworks.functions.projection import SVY21
 from gaugeworks.operators import evaluate, ranking, spatial, summaries
 from gaugeworks.spec import SeriesSpec
@@ -22,12 +23,40 @@ def test_exact_percentiles_with_a_hot_group(spark):
     data = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("none", None), (None, 2.0), (None, 4.0)]
     df = spark.createDataFrame(data, "g string, v double")
     probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.999, "e": 1.0}
-    for width in (0.1, 5.0, 1e6):
-        got = {r.g: r for r in ranking.exact_percentiles(df, ["g"], "v", probs, width, count="n").collect()}
-        for g, vs in groups.items():
-            assert got[g].n == len(vs)
-            assert [got[g][n] for n in probs] == pytest.approx(list(np.quantile(vs, list(probs.values()))))
-        assert got["none"].n == 0 and got["none"].c is None and got[None].c == 3.0
+    got = {r.g: r for r in ranking.exact_percentiles(df, ["g"], "v", probs, count="n").collect()}
+    for g, vs in groups.items():
+        assert got[g].n == len(vs)
+        assert [got[g][n] for n in probs] == pytest.approx(list(np.quantile(vs, list(probs.values()))))
+    assert got["none"].n == 0 and got["none"].c is None and got[None].c == 3.0
+
+
+def test_exact_percentiles_whatever_the_range(spark):
+    rng = np.random.default_rng(3)
+    groups = {"wide": np.concatenate([rng.choice([-1, 1], 3000) * 10.0 ** rng.uniform(-300, 300, 3000), np.zeros(50)]),
+              "next": 1.0 + np.arange(4000) * 2.0 ** -52, "tiny": np.arange(300) * 5e-324, "whole": rng.integers(0, 1 << 20, 2000).astype(float)}
+    data = [(g, float(v), 1 + i % 3) for g, vs in groups.items() for i, v in enumerate(vs)] + [("ends", float("inf"), 2), ("ends", -float("inf"), 2)]
+    df = spark.createDataFrame(data, "g string, v double, n long").repartition(7)
+    probs = {"a": 0.0, "b": 0.1, "c": 0.5, "d": 0.93, "e": 1.0}
+    got = {r.g: r for r in ranking.exact_percentiles(df, ["g"], "v", probs, count="n", weight=F.col("n")).collect()}
+    for g, vs in groups.items():
+        every = np.sort(np.repeat(vs, 1 + np.arange(len(vs)) % 3))
+        for name, p in probs.items():
+            at = p * (len(every) - 1)
+            low, high = every[math.floor(at)], every[math.ceil(at)]
+            assert got[g][name] == (low if low == high else low + (high - low) * (at - math.floor(at)))
+    assert (got["ends"].a, got["ends"].b, got["ends"].e) == (-float("inf"), -float("inf"), float("inf"))
+
+
+def test_order_image_is_the_order_of_doubles(spark):
+    rng = np.random.default_rng(4)
+    bits = np.concatenate([rng.integers(0, 0x7FF0000000000000, 3000), [k << 52 for k in range(2047)], [(k << 52) - 1 for k in range(1, 2047)], range(4)])
+    values = bits.astype(np.int64).view(np.float64)
+    df = spark.createDataFrame([(float(v),) for v in np.concatenate([values, -values])], "v double")
+    got = {r.v: r.i for r in df.select("v", order_image(F.col("v")).alias("i")).collect()}
+    assert all(got[float(v)] == b and got[-float(v)] == -b for v, b in zip(values.tolist(), bits.tolist()))
+    odd = spark.createDataFrame([(float("inf"),), (float("nan"),), (1.7976931348623157e308,), (None,), (-float("inf"),)], "v double")
+    a, b, c, d, e = [r[0] for r in odd.select(order_image(F.col("v"))).collect()]
+    assert b > a > c and d is None and e == -a
 
 
 def test_top_rows_per_group(spark):
