@@ -35,6 +35,7 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 # Bits of the order image that are settled before the values of a bucket are put in order, and per level.
 LEVEL_BITS, LEVELS = 16, 3
+RANK_BITS = 21
 
 
 def exact_percentiles(df: DataFrame, by: Sequence[str], value: str | Column, probs: Mapping[str, float],
@@ -101,3 +102,26 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str | Column, pro
     between = [F.when(lo[n] == hi[n], lo[n]).otherwise(lo[n] + (hi[n] - lo[n]) * F.col(f"_part_{n}")).alias(n) for n in probs]
     extra = [F.col("_all").alias(count)] if count else []
     return picked.select(*by, *extra, *between)
+
+
+def distributed_rank(df: DataFrame, code: str, ties: Sequence[Column], bits: int, rank: str = "rank") -> DataFrame:
+    """Add each row's place, from 0, in the order of ``code`` (a whole number of ``bits`` bits, not negative), then ``ties``.
+
+    Rows are counted per code, and codes per prefix, 21 bits a level. Offsets then come down from the shortest
+    prefix; a window holds at most the 2**21 extensions of one prefix, or the rows of one code.
+    """
+    levels = [df.groupBy(F.col(code).alias("_p")).agg(F.count("*").alias("_n"))]
+    for _ in range((bits - 1) // RANK_BITS):
+        levels.append(levels[-1].groupBy(F.shiftright("_p", RANK_BITS).alias("_p")).agg(F.sum("_n").alias("_n")))
+
+    def before(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy("_up").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select("_p", "_n", (F.col("_base") + F.coalesce(F.sum("_n").over(w), F.lit(0))).alias("_base"))
+
+    found = before(levels.pop().withColumns({"_up": F.lit(0), "_base": F.lit(0).cast("long")}))
+    while levels:
+        above = found.select(F.col("_p").alias("_up"), "_base")
+        found = before(levels.pop().withColumn("_up", F.shiftright("_p", RANK_BITS)).join(above, "_up"))
+    own = F.row_number().over(Window.partitionBy(code).orderBy(*ties)) - 1
+    base = found.select(F.col("_p").alias(code), "_base")
+    return df.join(base, code).withColumn(rank, F.col("_base") + own).drop("_base")

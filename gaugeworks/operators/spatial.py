@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gaugeworks.functions.projection import SVY21, TransverseMercator, project
 from gaugeworks.functions.values import ratio
-from gaugeworks.operators.ranking import top_rows
-from gaugeworks.sources.scratch import materialise
+from gaugeworks.operators.ranking import distributed_rank, top_rows
 from gaugeworks.spec import SeriesSpec
 
-MAX_DEPTH = 12
-# A directory of level L has at most 4**L rows; up to this level it is small enough to broadcast.
-BROADCAST_LEVEL = 8
-LEAF_POINTS = 16
+# Bits of a coordinate in the Morton code; points of one cell are told apart by their coordinates.
+AXIS_BITS = 31
+STEPS = 3
+# Bounds and distances are rounded sums and roots: they are compared with this much room.
+ROUNDING = 1e-12
 # The coordinates stay text until the geometry type tells how deep they are nested.
 GEOMETRY = "struct<type: string, coordinates: string>"
 
@@ -110,92 +110,114 @@ def inside(points: DataFrame, edges: DataFrame, band: float, point_id: str = "po
     return points.join(covered, point_id, "left_semi")
 
 
-def _depth(cells: DataFrame) -> int:
-    """Least level at which no cell holds more than LEAF_POINTS points."""
-    levels = F.explode(F.array(*[F.lit(i) for i in range(MAX_DEPTH + 1)])).alias("level")
-    up = F.expr(f"cast(power(2, {MAX_DEPTH} - level) as bigint)")
-    sizes = (cells.select("cx", "cy", "n", levels)
-             .groupBy("level", F.floor(F.col("cx") / up).alias("cx"), F.floor(F.col("cy") / up).alias("cy"))
-             .agg(F.sum("n").alias("n")).groupBy("level").agg(F.max("n").alias("most")))
-    fits = sizes.where(F.col("most") <= LEAF_POINTS).agg(F.min("level").alias("level")).first().level
-    return MAX_DEPTH if fits is None else max(1, fits)
+def _spread(v: Column) -> Column:
+    """The bits of a whole number with a zero between each two: its binary digits, read in base four."""
+    return F.conv(F.bin(v), 4, 10).cast("long")
 
 
-def nearest(targets: DataFrame, points: DataFrame, k: int, target_id: str = "target_id",
-            point_id: str = "point_id") -> DataFrame:
-    """The ``k`` nearest points of every target, exactly; equal distances go by ``point_id``.
+def _placed(points: DataFrame) -> DataFrame:
+    """Points with their place ``rank`` along the Morton curve over the square around all of them."""
+    bounds = points.agg(F.struct(F.min("px").alias("x0"), F.min("py").alias("y0"),
+                                 F.greatest(F.max("px") - F.min("px"), F.max("py") - F.min("py")).alias("side"))).scalar()
+    cells = 1 << AXIS_BITS
 
-    The square around the points is halved level by level. Each target carries the cells
-    that can still hold a neighbour: a cell is dropped once ``k`` points are known to lie
-    closer than its nearest corner. Only the points of the last cells are compared, so the
-    work per target does not grow with the number of points. Depth follows the densest spot.
-    """
-    xy = points.groupBy().agg(F.min("x").alias("x0"), F.max("x").alias("x1"),
-                              F.min("y").alias("y0"), F.max("y").alias("y1")).first()
-    if xy.x0 is None:
-        raise ValueError("No points to search")
-    side = max(xy.x1 - xy.x0, xy.y1 - xy.y0, 1e-6) * (1 + 1e-9)
+    def cell(c: str, low: str) -> Column:
+        part = F.coalesce(F.try_divide(F.col(c) - F.col(f"_b.{low}"), F.col("_b.side")), F.lit(0.0))
+        return F.least(F.floor(part * cells), F.lit(cells - 1))
 
-    def cell(c: str, low: float, level: int):
-        n = 2 ** level
-        return F.least(F.floor((F.col(c) - F.lit(low)) / F.lit(side / n)), F.lit(n - 1))
+    coded = points.withColumn("_b", bounds).withColumn("_code", _spread(cell("px", "x0")).bitwiseOR(F.shiftleft(_spread(cell("py", "y0")), 1)))
+    return distributed_rank(coded.drop("_b"), "_code", [F.col("px"), F.col("py")], 2 * AXIS_BITS, "_rank").drop("_code")
 
+
+def point_index(points: DataFrame, k: int, point_id: str = "point_id") -> DataFrame:
+    """``points`` in runs along the Morton curve, for searches of up to ``k`` neighbours.
+
+    The node of a place is its place divided by a power of the fan-out, which is the ``STEPS``-th root of the number of
+    points. Crowded spots get many small runs and empty space none, so the tree's depth depends on neither.
+    Several searches may share an index; persist or write it then.
+    """
     # Copies on one spot: no more than k of them can ever be neighbours.
-    kept = top_rows(points, k, [F.col(point_id)], ["x", "y"]).withColumnsRenamed({"x": "px", "y": "py"})
-    kept = materialise(kept.withColumns({"cx": cell("px", xy.x0, MAX_DEPTH), "cy": cell("py", xy.y0, MAX_DEPTH)}))
-    finest = kept.groupBy("cx", "cy").agg(F.count("*").alias("n"))
-    depth = _depth(finest)
-    own = targets.select(target_id, "x", "y").repartition(target_id)
-    found = own.select("*", F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"))
+    placed = points.where("x is not null and y is not null and not isnan(x) and not isnan(y)").withColumnsRenamed({"x": "px", "y": "py"})
+    number = placed.agg(F.count("*").cast("double").alias("n")).scalar()
+    fan = F.greatest(F.lit(2).cast("long"), F.ceil(F.pow(number, F.lit(1.0 / STEPS))))
+    kept = _placed(top_rows(placed, k, [F.col(point_id)], ["px", "py"])).withColumn("_fan", fan)
+    return kept.withColumn("_up", F.call_function("div", F.col("_rank"), F.col("_fan"))).drop("_rank")
+
+
+def _boxes(rows: DataFrame) -> DataFrame:
+    """Bounding boxes and sizes of the runs ``_up`` of ``rows``, with the run ``_up`` they belong to themselves."""
+    boxes = rows.groupBy(F.col("_up").alias("_node")).agg(
+        F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"), F.sum("n").alias("n"), F.max("_fan").alias("_fan"))
+    return boxes.withColumn("_up", F.call_function("div", F.col("_node"), F.col("_fan")))
+
+
+def _within_reach(found: DataFrame, k: int, target_id: str) -> DataFrame:
+    """Boxes that can still hold one of a target's ``k`` nearest points.
+
+    A box is dropped once ``k`` points of other boxes are known to lie closer than its nearest corner.
+    """
+    x, y, zero = F.col("x"), F.col("y"), F.lit(0.0)
+    gap_x, gap_y = F.greatest(F.col("x0") - x, x - F.col("x1"), zero), F.greatest(F.col("y0") - y, y - F.col("y1"), zero)
+    far_x = F.greatest(F.abs(x - F.col("x0")), F.abs(x - F.col("x1")))
+    far_y = F.greatest(F.abs(y - F.col("y0")), F.abs(y - F.col("y1")))
     w = Window.partitionBy(target_id)
-    # At the first two levels nothing can be dropped yet, so they are one step of sixteen cells.
-    start = min(2, depth)
-    for level in range(start, depth + 1):
-        parts = range(2 ** start if level == start else 2)
-        shrink = 2 ** (MAX_DEPTH - level)
-        directory = finest.groupBy(F.floor(F.col("cx") / shrink).alias("cx"),
-                                   F.floor(F.col("cy") / shrink).alias("cy")).agg(F.sum("n").alias("n"))
-        if level <= BROADCAST_LEVEL:
-            directory = F.broadcast(directory)
-        size = F.lit(side / 2 ** level)
-        smaller = F.array(*[F.struct((F.col("cx") * len(parts) + i).alias("cx"), (F.col("cy") * len(parts) + j).alias("cy"))
-                            for i in parts for j in parts])
-        found = found.select(target_id, "x", "y", F.inline(smaller)).join(directory, ["cx", "cy"])
-        low_x, low_y = F.lit(xy.x0) + F.col("cx") * size, F.lit(xy.y0) + F.col("cy") * size
-        gap_x = F.greatest(low_x - F.col("x"), F.col("x") - low_x - size, F.lit(0.0))
-        gap_y = F.greatest(low_y - F.col("y"), F.col("y") - low_y - size, F.lit(0.0))
-        far_x = F.greatest(F.abs(F.col("x") - low_x), F.abs(F.col("x") - low_x - size))
-        far_y = F.greatest(F.abs(F.col("y") - low_y), F.abs(F.col("y") - low_y - size))
-        found = found.withColumns({"_near": F.sqrt(gap_x * gap_x + gap_y * gap_y),
-                                   "_far": F.sqrt(far_x * far_x + far_y * far_y)})
-        nested = w.orderBy("_far", "cx", "cy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        reach = F.min(F.when(F.col("_sure") >= k, F.col("_far"))).over(w)
-        slack = F.lit(side * 1e-9)
-        found = (found.withColumn("_sure", F.sum("n").over(nested)).withColumn("_reach", reach)
-                 .where(F.col("_reach").isNull() | (F.col("_near") <= F.col("_reach") + slack))
-                 .select(target_id, "x", "y", "cx", "cy"))
-    last = 2 ** (MAX_DEPTH - depth)
-    leaf = kept.withColumns({"cx": F.floor(F.col("cx") / last), "cy": F.floor(F.col("cy") / last)})
+    nested = w.orderBy("_far", "_node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.min(F.when(F.col("_sure") >= k, F.col("_far"))).over(w)
+    return (found.withColumns({"_near": F.sqrt(gap_x * gap_x + gap_y * gap_y), "_far": F.sqrt(far_x * far_x + far_y * far_y)})
+            .withColumn("_sure", F.sum("n").over(nested)).withColumn("_reach", reach)
+            .where(F.col("_reach").isNull() | (F.col("_near") * (1 - ROUNDING) <= F.col("_reach") * (1 + ROUNDING)))
+            .select(target_id, "x", "y", "_node"))
+
+
+def neighbour_pairs(targets: DataFrame, index: DataFrame, k: int, target_id: str = "target_id") -> DataFrame:
+    """Pairs of targets and points of ``index``, with ``distance``, that hold the ``k`` nearest points of every target.
+
+    A target takes all nodes of the first step, as many as the fan-out, drops those out of reach, meets the children of
+    the others by equal node numbers, and so on down to the points.
+    """
+    spots = index.select("_up", "_fan", F.col("px").alias("x0"), F.col("px").alias("x1"), F.col("py").alias("y0"), F.col("py").alias("y1"), F.lit(1).cast("long").alias("n"))
+    nodes = [_boxes(spots)]
+    for _ in range(STEPS - 2):
+        nodes.append(_boxes(nodes[-1]))
+    first = nodes.pop().agg(F.collect_list(F.struct("_node", "x0", "x1", "y0", "y1", "n"))).scalar()
+    found = targets.select(target_id, "x", "y").repartition(target_id).select(target_id, "x", "y", F.inline(first))
+    found = _within_reach(found, k, target_id)
+    while nodes:
+        found = found.withColumnRenamed("_node", "_up").join(nodes.pop().drop("_fan"), "_up").drop("_up")
+        found = _within_reach(found, k, target_id)
     dx, dy = F.col("x") - F.col("px"), F.col("y") - F.col("py")
-    pairs = found.join(leaf, ["cx", "cy"]).withColumn("distance", F.sqrt(dx * dx + dy * dy))
-    return top_rows(pairs, k, [F.col("distance"), F.col(point_id)], [target_id]).drop("cx", "cy")
+    return (found.withColumnRenamed("_node", "_up").join(index.drop("_fan"), "_up").drop("_up")
+            .withColumn("distance", F.sqrt(dx * dx + dy * dy)))
+
+
+def nearest(targets: DataFrame, points: DataFrame, k: int, target_id: str = "target_id",
+            point_id: str = "point_id", index: DataFrame | None = None) -> DataFrame:
+    """The ``k`` nearest points of every target, exactly; equal distances go by ``point_id``.
+
+    Points without coordinates are nobody's neighbours; without points there are no rows. Nothing runs before the
+    result is used. ``index`` is the points' :func:`point_index` for ``k`` or more, where one is at hand.
+    """
+    if index is None:
+        index = point_index(points, k, point_id)
+    pairs = neighbour_pairs(targets, index, k, target_id)
+    return top_rows(pairs, k, [F.col("distance"), F.col(point_id)], [target_id])
 
 
 def distance_mask(cells: DataFrame, points: DataFrame, distance: float, target_id: str = "target_id",
-                  point_id: str = "point_id") -> DataFrame:
+                  point_id: str = "point_id", index: DataFrame | None = None) -> DataFrame:
     """Cells with a point within ``distance``; zero keeps all."""
     if not distance:
         return cells
-    close = nearest(cells, points, 1, target_id, point_id).where(F.col("distance") <= distance)
+    close = nearest(cells, points, 1, target_id, point_id, index).where(F.col("distance") <= distance)
     return cells.join(close.select(target_id), target_id, "left_semi")
 
 
 def idw(targets: DataFrame, points: DataFrame, value: str, k: int = 8, power: float = 2.0,
-        target_id: str = "target_id", point_id: str = "point_id") -> DataFrame:
+        target_id: str = "target_id", point_id: str = "point_id", index: DataFrame | None = None) -> DataFrame:
     """Inverse-distance mean of the ``k`` nearest points; a coincident point gives its own value."""
     if power <= 0 or k < 1:
         raise ValueError("power > 0 and k >= 1 are required")
-    near = nearest(targets, points.select(point_id, "x", "y", value), k, target_id, point_id)
+    near = nearest(targets, points.select(point_id, "x", "y", value), k, target_id, point_id, index)
     weight = F.pow(F.greatest(F.col("distance"), F.lit(1e-8)), F.lit(-float(power)))
     first = F.min(F.struct("distance", point_id, value))
     out = near.groupBy(target_id, "x", "y").agg(

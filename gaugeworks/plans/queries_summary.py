@@ -588,7 +588,9 @@ FROM ({PLACES}) p, ({POINTS}) s"""
 
 @query("X5_distance_mask", f"SELECT target_id FROM ({DISTANCES}) GROUP BY target_id HAVING min(d) <= 2000", "targets", "stations")
 def _(spark, sf):
-    return spatial.distance_mask(_targets(spark, sf), _stations(spark, sf), 2000.0).select("target_id")
+    stations = _stations(spark, sf)
+    index = spatial.point_index(stations, 1).persist()
+    return spatial.distance_mask(_targets(spark, sf), stations, 2000.0, index=index).select("target_id")
 
 
 @query("X6_idw", f"""SELECT target_id, round(x, 4) AS x, round(y, 4) AS y, count(*) AS neighbours,
@@ -596,7 +598,9 @@ round(CASE WHEN min(d) < 1e-8 THEN arg_min(value, (d, point_id)) ELSE sum(value
 / sum(pow(greatest(d, 1e-8), -2)) END, 6) AS estimate FROM (SELECT *, row_number() OVER (PARTITION BY target_id
 ORDER BY d, point_id) AS rn FROM ({DISTANCES})) WHERE rn <= 8 GROUP BY target_id, x, y""", "targets", "stations")
 def _(spark, sf):
-    found = spatial.idw(_targets(spark, sf), _stations(spark, sf), "value", 8, 2.0)
+    stations = _stations(spark, sf)
+    index = spatial.point_index(stations, 8).persist()
+    found = spatial.idw(_targets(spark, sf), stations, "value", 8, 2.0, index=index)
     return found.withColumn("x", F.round("x", 4)).withColumn("y", F.round("y", 4))
 
 

@@ -173,6 +173,43 @@ def test_nearest_is_exact(spark, shape):
     assert got == plain_nearest(targets, points, 8)
 
 
+def test_neighbours_in_a_very_crowded_spot(spark):
+    """10 000 points in a millionth of the side: few pairs per target, wherever the target is."""
+    rng = np.random.default_rng(8)
+    xy = np.vstack([rng.random((10_000, 2)) * 1e-3 + [700.0, 300.0], rng.random((200, 2)) * 1000, np.repeat([[700.0, 300.0]], 500, axis=0)])
+    points = [(i, float(x), float(y), 0.0) for i, (x, y) in enumerate(xy)]
+    where = np.vstack([rng.random((30, 2)) * 1000, rng.random((30, 2)) * 1e-3 + [700.0, 300.0], [[700.0, 300.0], [1e6, 1e6]]])
+    targets = [(i, float(x), float(y)) for i, (x, y) in enumerate(where)]
+    p = spark.createDataFrame(points + [(-1, None, 3.0, 0.0), (-2, float("nan"), 3.0, 0.0)], "point_id int, x double, y double, value double").repartition(8)
+    t = spark.createDataFrame(targets, "target_id int, x double, y double")
+    sc = spark.sparkContext
+    sc.setJobGroup("planning", "planning")
+    index = spatial.point_index(p, 8).persist()
+    found, pairs = spatial.nearest(t, p, 8, index=index), spatial.neighbour_pairs(t, index, 8)
+    assert list(sc.statusTracker().getJobIdsForGroup("planning")) == []
+    sc.setJobGroup("running", "running")
+    got = {}
+    for r in found.orderBy("target_id", "distance", "point_id").collect():
+        got.setdefault(r.target_id, []).append(r.point_id)
+    assert got == plain_nearest(targets, points, 8)
+    sizes = [r["count"] for r in pairs.groupBy("target_id").count().collect()]
+    assert len(sizes) == len(targets) and max(sizes) <= 1500 and np.mean(sizes) <= 500
+
+
+def test_nearest_without_points(spark):
+    t = spark.createDataFrame([(1, 0.0, 0.0)], "target_id int, x double, y double")
+    assert spatial.nearest(t, t.limit(0).withColumnRenamed("target_id", "point_id"), 3).collect() == []
+
+
+def test_distributed_rank_with_hot_codes(spark):
+    rng = np.random.default_rng(9)
+    codes = np.concatenate([rng.integers(0, 1 << 62, 500), np.full(300, 7), rng.integers(0, 1 << 20, 300), [0, (1 << 62) - 1]])
+    df = spark.createDataFrame([(i, int(c)) for i, c in enumerate(codes)], "id int, code long").repartition(5)
+    got = {r.id: r.place for r in ranking.distributed_rank(df, "code", [F.desc("id")], 62, "place").collect()}
+    order = sorted(range(len(codes)), key=lambda i: (codes[i], -i))
+    assert got == {i: n for n, i in enumerate(order)}
+
+
 def test_idw_exact_hit_and_mask(spark):
     p = spark.createDataFrame([(1, 0.0, 0.0, 10.0), (2, 100.0, 0.0, 20.0)], "point_id int, x double, y double, value double")
     t = spark.createDataFrame([(1, 0.0, 0.0), (2, 50.0, 0.0), (3, 900.0, 0.0)], "target_id int, x double, y double")
