@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeworks.functions.grid import epoch_seconds, floor_div
+from gaugeworks.functions.grid import MICROS, epoch_micros, epoch_seconds, floor_div
 from gaugeworks.functions.values import ratio
-from gaugeworks.operators.ranking import top_rows
+from gaugeworks.operators.ranking import join_same, top_rows
 from gaugeworks.spec import SeriesSpec
 
 # Class names with their inclusive upper bounds, in seconds.
@@ -16,34 +16,49 @@ GAP_CLASSES = ("under_5min", "exact_5min", "5_to_10min", "10_to_30min", "30_to_6
                "1_to_24h", "1_to_7d", "over_7d")
 GAP_EDGES = (600, 1_800, 3_600, 86_400, 604_800)
 BLOCK_SLOTS = 288
+DAY_SECONDS = 86_400
 
 
-def intervals(df: DataFrame, s: SeriesSpec, time: str | None = None, within: Sequence[str] = (),
-              block_slots: int = BLOCK_SLOTS, unique: bool = False) -> DataFrame:
-    """One row per pair of consecutive distinct times of an id, inside its period.
+def intervals_and_ends(df: DataFrame, s: SeriesSpec, time: str | None = None, within: Sequence[str] = (),
+                       block_slots: int = BLOCK_SLOTS, unique: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Pairs of consecutive distinct times of an id inside its period, and what each time block holds.
+
+    A window over the whole history of an id would put the largest id into one task. The last time
+    seen is carried over four levels instead: times inside a second, seconds inside a block of at most a day, blocks of
+    an id. A window holds a second's fractions, or two rows per second of a block, or an id's blocks,
+    whatever the resolution. Series of whole seconds have nothing on the finest level.
 
-    A window over the whole history of an id would put the largest id into one task. Here
-    the window runs inside time blocks. The first reading of a block takes its predecessor
-    from a table of block ends, which has one row per id and block, whatever the row count.
-    Copies of a time are merged on the map side first; pass ``unique`` when the key already is.
+    The second result has, per id and block, ``ts`` and ``last``, its first and last time, and ``n``, the number of
+    distinct ones. Copies of a time are merged on the map side first; pass ``unique`` when the key already is.
     """
     time = time or s.time
     key = [*within, s.entity]
     seen = (df.where(F.col(s.entity).isNotNull() & F.col(time).isNotNull())
             .select(*key, F.col(time).alias("ts")))
-    if not unique:
-        seen = seen.distinct()
-    seen = seen.withColumn("block", floor_div(epoch_seconds("ts"), block_slots * s.slot_seconds))
-    inside = (seen.withColumn("prev_ts", F.lag("ts").over(Window.partitionBy(*key, "block").orderBy("ts")))
-              .select(*key, "prev_ts", "ts"))
-    # Minimum and maximum alone would let the optimiser drop the merge from this branch and scan
-    # the source again; the count keeps both branches on the same shuffle.
-    ends = seen.groupBy(*key, "block").agg(
-        F.min("ts").alias("ts"), F.max("ts").alias("last"), F.count("*").alias("n")).where(F.col("n") > 0)
-    seams = (ends.withColumn("prev_ts", F.lag("last").over(Window.partitionBy(*key).orderBy("block")))
-             .select(*key, "prev_ts", "ts"))
-    return (inside.unionByName(seams).where(F.col("prev_ts").isNotNull())
-            .withColumn("gap_seconds", epoch_seconds("ts") - epoch_seconds("prev_ts")))
+    # The count is part of both conditions below. Conditions on the time alone would go below the merge,
+    # and each branch would scan the source for itself.
+    seen = seen.withColumn("n", F.lit(1).cast("long")) if unique else seen.groupBy(*key, "ts").agg(F.count("*").alias("n"))
+    fine = F.when(F.col("n") > 0, F.pmod(epoch_micros("ts"), F.lit(MICROS)) != 0)
+    fraction = seen.where(fine).withColumn("second", epoch_seconds("ts"))
+    inner = fraction.withColumn("prev_ts", F.lag("ts").over(Window.partitionBy(*key, "second").orderBy("ts")))
+    seconds = fraction.groupBy(*key, "second").agg(F.min("ts").alias("ts"), F.max("ts").alias("last"), F.count("*").alias("n"))
+    whole = seen.where(~fine).select(*key, "ts", F.col("ts").alias("last"), F.lit(1).cast("long").alias("n"))
+    width = min(block_slots * s.slot_seconds, DAY_SECONDS)
+    steps = whole.unionByName(seconds.drop("second")).withColumn("block", floor_div(epoch_seconds("ts"), width))
+
+    def carried(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        before = F.lag("last").over(Window.partitionBy(*by).orderBy("ts"))
+        return rows.withColumn("prev_ts", before).select(*key, "prev_ts", "ts")
+
+    ends = steps.groupBy(*key, "block").agg(F.min("ts").alias("ts"), F.max("last").alias("last"), F.sum("n").alias("n"))
+    pairs = carried(steps, [*key, "block"]).unionByName(carried(ends, key)).unionByName(inner.select(*key, "prev_ts", "ts"))
+    return pairs.where("prev_ts is not null").withColumn("gap_seconds", epoch_seconds("ts") - epoch_seconds("prev_ts")), ends
+
+
+def intervals(df: DataFrame, s: SeriesSpec, time: str | None = None, within: Sequence[str] = (),
+              block_slots: int = BLOCK_SLOTS, unique: bool = False) -> DataFrame:
+    """One row per pair of consecutive distinct times of an id, see :func:`intervals_and_ends`."""
+    return intervals_and_ends(df, s, time, within, block_slots, unique)[0]
 
 
 def missing_slots(pairs: DataFrame, s: SeriesSpec) -> DataFrame:
@@ -83,21 +98,21 @@ def gap_distribution(classed: DataFrame, by: Sequence[str]) -> DataFrame:
             .select(*by, F.inline("classes")))
 
 
-def span_coverage_raw(df: DataFrame, pairs: DataFrame, s: SeriesSpec, by: Sequence[str] = (),
-                      time: str | None = None) -> DataFrame:
-    """Distinct readings against the slots of the observed span; off-grid input may exceed 1."""
-    time = time or s.time
+def span_coverage_raw(ends: DataFrame, pairs: DataFrame, s: SeriesSpec, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct readings against the slots of the observed span; off-grid input may exceed 1.
+
+    Takes both results of :func:`intervals_and_ends`, the pairs with their missing slots: the readings are not
+    looked at again.
+    """
     key = [*by, s.entity]
-    per_id = (df.where(F.col(s.entity).isNotNull() & F.col(time).isNotNull())
-              .select(*key, F.col(time).alias("ts")).distinct()
-              .groupBy(*key).agg(F.count("*").alias("observed_unique"), F.min("ts").alias("first_ts"),
-                                 F.max("ts").alias("last_ts")))
+    per_id = ends.groupBy(*key).agg(F.sum("n").alias("observed_unique"), F.min("ts").alias("first_ts"),
+                                    F.max("last").alias("last_ts"))
     gaps = pairs.groupBy(*key).agg(
         F.count_if(F.col("gap_seconds") > s.slot_seconds).alias("gaps_over_slot"),
         F.sum("estimated_missing_slots").alias("estimated_missing_slots"),
         F.max("gap_seconds").alias("max_gap_seconds"))
     span = epoch_seconds("last_ts") - epoch_seconds("first_ts")
-    return (per_id.join(gaps, key, "left")
+    return (join_same(per_id, gaps, key, "left")
             .withColumn("expected_slots_span", floor_div(span, s.slot_seconds) + 1)
             .withColumn("coverage_span_approx", ratio(F.col("observed_unique"), F.col("expected_slots_span"))))
 

@@ -325,6 +325,23 @@ def _(spark, sf):
     return _profiled(profile.profile(b.dirty(spark, sf), DAY, "year", TEXT))
 
 
+CLEAN = """SELECT year, count(*) AS total_rows, count(DISTINCT station_id) AS stations, min(t) AS first_timestamp, max(t) AS last_timestamp,
+min(v) AS min_value, max(v) AS max_value, round(avg(v), 6) AS mean_value, count(*) FILTER (v < 0) AS negative_values, 0::BIGINT AS nonfinite_values,
+count(*) FILTER (reading_value IS NOT NULL AND v IS NULL) AS invalid_values,
+count(*) FILTER ("timestamp" IS NOT NULL AND t IS NULL) AS invalid_timestamps"""
+FINITE = f"SELECT * FROM ({PARSED}) WHERE v IS NULL OR isfinite(v)"
+
+
+@query("P5_profile_finite_values", f"""SELECT * FROM ({CLEAN}, {MISSING} FROM ({FINITE}) GROUP BY year)
+LEFT JOIN ({DUPLICATE.replace("FROM dirty GROUP", f"FROM ({FINITE}) GROUP")}) USING (year)
+LEFT JOIN ({GAPS.replace(f"FROM ({PARSED})", f"FROM ({FINITE})")}) USING (year)""", "dirty")
+def _(spark, sf):
+    """Mean and maximum too: rows with values that are no finite numbers are left out."""
+    v = F.col("reading_value").try_cast("double")
+    rows = b.dirty(spark, sf).where(v.isNull() | ~(F.isnan(v) | (F.abs(v) == float("inf"))))
+    return b.zone_free(profile.profile(rows, DAY, "year", TEXT))
+
+
 OFFSETS = """SELECT *, es % 86400 AS offset_seconds, (es * 2 + 86400) // 172800 * 86400 AS aligned_epoch FROM (
 SELECT *, epoch_us(t) // 1000000 AS es FROM (SELECT *, TRY_CAST("timestamp" AS TIMESTAMP) AS t,
   TRY_CAST(reading_value AS DOUBLE) AS v FROM records) WHERE t IS NOT NULL AND station_id IS NOT NULL)"""
@@ -439,7 +456,8 @@ LEFT JOIN (SELECT year, station_id, count(*) FILTER (gap_seconds > 86400) AS gap
 
 @query("G5_span_coverage_raw", SPAN_RAW, "aligned", "record_pairs")
 def _(spark, sf):
-    return gaps.span_coverage_raw(b.aligned(spark, sf), b.record_pairs(spark, sf), DAY, ["year"], "observation_time")
+    pairs, ends = gaps.intervals_and_ends(b.aligned(spark, sf), DAY, time="observation_time", within=["year"])
+    return gaps.span_coverage_raw(ends, gaps.missing_slots(pairs, DAY), DAY, ["year"])
 
 
 MONTHLY_GAPS = """SELECT year, CAST(month(ts) AS INTEGER) AS month, count(*) AS gaps_over_slot,

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import clean, evaluate, features, gaps, ranking
+from gaugeworks.operators import clean, evaluate, features, gaps, profile, ranking
 from gaugeworks.plans import bindings as b
 
 SF = "/root/testdata/sf0.001"
@@ -27,6 +27,14 @@ def test_intervals_share_one_merge(spark):
     assert "ReusedExchange" in plan and plan.count("FileScan") == 1
 
 
+def test_span_coverage_and_profile_scan_once(spark):
+    pairs, ends = gaps.intervals_and_ends(b.aligned(spark, SF), b.DAY, time="observation_time", within=["year"])
+    plan = executed(gaps.span_coverage_raw(ends, gaps.missing_slots(pairs, b.DAY), b.DAY, ["year"]))
+    assert plan.count("FileScan") == executed(b.aligned(spark, SF)).count("FileScan")
+    tables = profile.profile(b.dirty(spark, SF), b.DAY, "year", ["station_id"])
+    assert executed(tables).count("FileScan") == executed(b.dirty(spark, SF)).count("FileScan")
+
+
 def test_copies_shrink_before_the_shuffle(spark):
     plan = executed(clean.dedupe_best(b.event_slots(spark, SF), b.HOUR, ["event_id"]))
     assert "partial_min" in plan and "Window [" not in plan

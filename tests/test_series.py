@@ -7,7 +7,7 @@ import pytest
 from compare import rows
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import cohorts, features, gaps, lookup, spatial, summaries, validate
+from gaugeworks.operators import cohorts, features, gaps, lookup, profile, spatial, summaries, validate
 from gaugeworks.spec import SeriesSpec, SplitCuts
 
 S = SeriesSpec()
@@ -35,6 +35,23 @@ def test_intervals_match_plain_lag_with_hot_copies_and_blocks(spark):
         assert sorted((r.station_id, r.prev_ts, r.ts) for r in got.collect()) == want
 
 
+def test_intervals_of_any_resolution_and_their_ends(spark):
+    """A crowded second, fractions next to whole seconds, and block borders, against a plain lag."""
+    rnd = random.Random(6)
+    times = {"fine": {T0 + timedelta(microseconds=rnd.randrange(2_000_000)) for _ in range(3000)},
+             "mixed": {T0 + timedelta(seconds=rnd.randrange(200_000), microseconds=rnd.choice([0, 0, 1, 500_000, 999_999])) for _ in range(3000)},
+             "edge": {T0 + timedelta(days=d, microseconds=m) for d in range(4) for m in (-1, 0, 1)}, "one": {T0}}
+    items = [(e, t, 1.0) for e, ts in times.items() for t in [*ts, *list(ts)[:50]]]
+    want = sorted((e, a, b) for e, ts in times.items() for a, b in zip(sorted(ts), sorted(ts)[1:]))
+    for block in (12, 288, 100_000):
+        pairs, ends = gaps.intervals_and_ends(series(spark, items), S, block_slots=block)
+        assert sorted((r.station_id, r.prev_ts, r.ts) for r in pairs.collect()) == want
+        cover = {r.station_id: r for r in gaps.span_coverage_raw(ends, gaps.missing_slots(pairs, S), S).collect()}
+        assert {e: (r.observed_unique, r.first_ts, r.last_ts) for e, r in cover.items()} == {e: (len(ts), min(ts), max(ts)) for e, ts in times.items()}
+    unique = series(spark, [(e, t, 1.0) for e, ts in times.items() for t in ts])
+    assert sorted((r.station_id, r.prev_ts, r.ts) for r in gaps.intervals(unique, S, unique=True).collect()) == want
+
+
 def test_intervals_stay_inside_their_period(spark):
     df = series(spark, [("a", datetime(2019, 12, 31, 23, 50), 1.0), ("a", datetime(2020, 1, 1, 0, 10), 1.0),
                         ("a", datetime(2020, 1, 1, 0, 20), 1.0)]).withColumn("year", F.year("timestamp"))
@@ -307,3 +324,43 @@ def test_latest_valid_coordinate_and_natural_order(spark):
     got = spatial.entity_catalog(df, S).collect()
     assert [r.station_id for r in got] == ["S2", "S10", "X"]
     assert (got[1].latitude, got[1].longitude) == (1.32, 103.82) and got[0].latitude is None
+
+
+def test_profile_rolls_up_what_a_plain_pass_finds(spark):
+    rnd = random.Random(11)
+    raw = [(str(2020 + rnd.randrange(2)), rnd.choice(["hot", "hot", "hot", "b", None, " "]),
+            rnd.choice([str(T0 + timedelta(seconds=30 * rnd.randrange(20_000))), "soon", None, str(T0 + timedelta(days=3, microseconds=rnd.randrange(3)))]),
+            rnd.choice(["1.5", "-2", "x", "", None, "7"])) for _ in range(2500)]
+    raw += [("2020", "hot", None, "1")] * 400 + [("2020", "hot", str(T0), "1")] * 400 + [("2030", None, None, None)]
+    df = spark.createDataFrame(raw, "year string, station_id string, timestamp string, reading_value string").repartition(5)
+    got = {r.year: r for r in profile.profile(df, S, "year", ["station_id", "reading_value"]).collect()}
+    for year in ("2020", "2021", "2030"):
+        own = [r[1:] for r in raw if r[0] == year]
+        at = {t: datetime.fromisoformat(t) for _, t, _ in own if t and t != "soon"}
+        v = [float(x) for *_, x in own if x not in ("x", "", None)]
+        seen = {}
+        for e, t, _ in own:
+            if e is not None and t in at:
+                seen.setdefault(e, set()).add(at[t])
+        floor = [[int((x - T0.replace(year=1970)) // timedelta(seconds=1)) for x in sorted(ts)] for ts in seen.values()]
+        steps = [y - x for f in floor for x, y in zip(f, f[1:])]
+        r, keys = got[year], {}
+        for e, t, _ in own:
+            keys[e, t] = keys.get((e, t), 0) + 1
+        assert (r.total_rows, r.stations, r.mean_value and round(r.mean_value, 9), r.min_value, r.max_value) == (
+            len(own), len({e for e, *_ in own} - {None}), round(sum(v) / len(v), 9) if v else None, min(v, default=None), max(v, default=None))
+        assert (r.duplicate_groups, r.duplicate_extra_rows) == (sum(n > 1 for n in keys.values()), sum(keys.values()) - len(keys))
+        assert (r.gaps_over_slot, r.gaps_under_slot, r.max_gap_seconds) == (
+            sum(g > 300 for g in steps), sum(0 < g < 300 for g in steps), max(steps, default=None))
+        assert (r.negative_values, r.invalid_values, r.invalid_timestamps) == (
+            sum(x < 0 for x in v), sum(x in ("x", "") for *_, x in own), sum(t == "soon" for _, t, _ in own))
+        assert (r.missing_station_id, r.missing_reading_value) == (sum(not (e or "").strip() for e, *_ in own), sum(not x for *_, x in own))
+
+
+def test_consistency_lists_are_bounded_and_counts_are_not(spark):
+    many = [(f"2020", "a", f"name {i:04d}", None, "1") for i in range(300)] + [("2021", "a", "name 0000", "2", "1"), ("2020", "b", None, None, None)]
+    df = spark.createDataFrame(many, "year string, station_id string, station_name string, location_latitude string, location_longitude string")
+    got = {r.station_id: r for r in profile.metadata_consistency(profile.metadata_variants(df, S, ["year"]), S, most=3).collect()}
+    assert got["a"].distinct_names == 300 and got["a"].names == "name 0000 | name 0001 | name 0002"
+    assert got["a"].years_present == "2020,2021" and got["a"].distinct_coordinate_pairs == 2
+    assert got["b"].names == "None" and got["b"].coordinates == "(None, None)"
