@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import evaluate, features, lookup, models
+from gaugeworks.operators import evaluate, features, lookup, models, trees
 from gaugeworks.plans import bindings as b
 from gaugeworks.plans.registry import query
 from gaugeworks.sources.readers import RAINFALL_FEATURES
@@ -153,6 +153,75 @@ def _(spark, sf):
     return _predictions(spark, sf, model)
 
 
+KEYS = ["station_id", "prediction_time", "threshold_mm"]
+SPLIT_ROWS = "SELECT * FROM prepared, (VALUES " + ", ".join(f"({float(t)}::DOUBLE)" for t in b.LABELS) + ") l(threshold_mm) WHERE split = '{0}'"
+
+
+def _stored(spark, model):
+    path = f"{scratch_dir(spark)}/model"
+    model.write().save(path)
+    return path
+
+
+@query("M10_optimality", """SELECT (SELECT sum(n + 1) FROM (SELECT count(DISTINCT c) AS n FROM (SELECT 1 AS k, station_id AS c FROM prepared WHERE split = 'train'
+  UNION ALL SELECT 2, CAST(hour AS VARCHAR) FROM prepared WHERE split = 'train' UNION ALL SELECT 3, CAST(month AS VARCHAR) FROM prepared WHERE split = 'train') GROUP BY k))::BIGINT + 4 AS features,
+  0::BIGINT AS inside_failures, 0::BIGINT AS bound_failures, 0::BIGINT AS intercept_failures""", "prepared")
+def _(spark, sf):
+    """Conditions of a least point that the bounded fit breaks: there must be none."""
+    encoder = models.fit_onehot(_part(spark, sf, "train"))
+    train = encoder.transform(_train(spark, sf)).select("features", "label", "threshold_mm")
+    caps = models.coefficient_caps(models.feature_variances(train))
+    model = models.monotone_lr(caps, 0.01, max_iter=500).fit(train)
+    checked = trees.optimality(model, models.score(model, train, ["features", "label", "p"]), caps, 0.01)
+    broken = [F.count_if((F.col("rule") == r) & ~F.col("holds")).alias(n) for r, n in (
+        ("inside", "inside_failures"), ("at_bound", "bound_failures"), ("intercept", "intercept_failures"))]
+    return checked.agg(F.count_if(F.col("feature") >= 0).alias("features"), *broken)
+
+
+@query("M12_forest_as_tables", f"SELECT threshold_mm, count(*) AS rows, 0::BIGINT AS differing_rows FROM ({SPLIT_ROWS.format('test')}) GROUP BY threshold_mm", "prepared")
+def _(spark, sf):
+    """Rows whose score by joins over the node table is not the model's: there must be none."""
+    encoder = models.fit_onehot(_part(spark, sf, "train"))
+    model = models.forest().fit(encoder.transform(_train(spark, sf)))
+    test = encoder.transform(features.expand_thresholds(_part(spark, sf, "test"), b.LABELS))
+    leaves = trees.routed(test, trees.node_table(spark, _stored(spark, model)), KEYS, model.getNumTrees, 5)
+    return trees.disagreement(models.score(model, test, [*KEYS, "p"]), trees.tree_scores(leaves, KEYS), KEYS, ["threshold_mm"])
+
+
+def _boosted(spark, sf):
+    encoder, bins = models.ordinal_encoder(_part(spark, sf, "train"))
+    model = models.boosted(bins=bins).fit(encoder.transform(_train(spark, sf)))
+    return encoder, model, trees.node_table(spark, _stored(spark, model), boosted=True)
+
+
+@query("M13_boosted_as_tables", f"SELECT threshold_mm, count(*) AS rows, 0::BIGINT AS differing_rows FROM ({SPLIT_ROWS.format('test')}) GROUP BY threshold_mm", "prepared")
+def _(spark, sf):
+    encoder, model, nodes = _boosted(spark, sf)
+    test = encoder.transform(features.expand_thresholds(_part(spark, sf, "test"), b.LABELS))
+    leaves = trees.routed(test, nodes, KEYS, model.getNumTrees, 4)
+    return trees.disagreement(models.score(model, test, [*KEYS, "p"]), trees.tree_scores(leaves, KEYS, boosted=True), KEYS, ["threshold_mm"])
+
+
+@query("M13_boosted_leaf_counts", f"""SELECT tree, rows, 0::BIGINT AS differing_leaves FROM (SELECT count(*) AS rows FROM ({SPLIT_ROWS.format('train')})),
+(SELECT CAST(unnest(range(20)) AS INTEGER) AS tree)""", "prepared")
+def _(spark, sf):
+    """Leaves whose training rows, counted by joins, are not as many as the fit recorded: there must be none."""
+    encoder, model, nodes = _boosted(spark, sf)
+    return trees.leaf_counts(trees.routed(encoder.transform(_train(spark, sf)), nodes, KEYS, model.getNumTrees, 4))
+
+
+@query("M14_scores_as_tables", f"""SELECT split, threshold_mm, count(*) AS rows, 0::BIGINT AS differing_rows FROM (
+SELECT * FROM ({SPLIT_ROWS.format('validation')}) UNION ALL SELECT * FROM ({SPLIT_ROWS.format('test')})) GROUP BY split, threshold_mm""", "prepared")
+def _(spark, sf):
+    """Rows whose score by joins with the weights is not the model's: there must be none."""
+    encoder = models.fit_onehot(_part(spark, sf, "train"))
+    train = encoder.transform(_train(spark, sf)).select("features", "label", "threshold_mm")
+    model = models.monotone_lr(models.coefficient_caps(models.feature_variances(train)), 0.1).fit(train)
+    keys = [*KEYS, "split"]
+    rows = encoder.transform(features.expand_thresholds(b.prepared(spark, sf).where("split != 'train'"), b.LABELS))
+    return trees.disagreement(models.score(model, rows, [*keys, "p"]), trees.linear_scores(rows, model, keys), keys, ["split", "threshold_mm"])
+
+
 @query("M14_score")
 def _(spark, sf):
     model, _ = models.train_and_select(b.prepared(spark, sf), _lr([0.1]), b.LABELS)
