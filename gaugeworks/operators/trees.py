@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gaugeworks.functions.values import ratio
 from gaugeworks.operators.models import weights
+from gaugeworks.operators.ranking import distributed_rank
+
+COUNT_BITS = 56
 
 
 def node_table(spark: SparkSession, path: str, boosted: bool = False) -> DataFrame:
@@ -64,6 +67,55 @@ def long_form(encoded: DataFrame, keys: Sequence[str]) -> DataFrame:
     return encoded.select(*keys, F.posexplode(vector_to_array("features")).alias("feature", "x")).where("x != 0")
 
 
+def category_positions(train: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """(category, value, position) of every value of the training rows; the most frequent comes first, then by value.
+
+    Positions of all categories follow each other; each category ends with one for unseen values, a row whose value
+    is null. Values are counted before they are ranked, and ranked by count in levels, so no list reaches the driver.
+    """
+    parts = [F.struct(F.lit(i).alias("part"), F.lit(c).alias("category"), F.col(c).cast("string").alias("value")) for i, c in enumerate(categories)]
+    counted = train.select(F.inline(F.array(*parts))).where("value is not null").groupBy("part", "category", "value").agg(F.count("*").alias("n"))
+    # Order: part, then falling counts; the code has room for 64 categories and 2**56 rows.
+    code = F.col("part").cast("long") * (1 << COUNT_BITS) + ((1 << COUNT_BITS) - 1 - F.col("n"))
+    known = distributed_rank(counted.withColumn("_code", code), "_code", [F.col("value")], COUNT_BITS + 6, "rank").drop("_code")
+    # Each category before a value's own adds one place for its unseen values.
+    known = known.select("category", "value", (F.col("rank") + F.col("part")).cast("int").alias("position"))
+    ends = counted.groupBy("part", "category").agg(F.count("*").alias("n"))
+    unseen = ends.select("category", F.lit(None).cast("string").alias("value"), (
+        F.sum(F.col("n") + 1).over(Window.orderBy("part")) - 1).cast("int").alias("position"))
+    return known.unionByName(unseen)
+
+
+def encoded_long(rows: DataFrame, positions: DataFrame, categories: Sequence[str], numerics: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """One-hot features as rows (keys, feature, x), without vectors: a one per category, then the non-zero numbers.
+
+    Numbers come after all categories, in the order given. Values that ``positions`` lacks take their category's last place.
+    """
+    cells = [F.struct(F.lit(c).alias("category"), F.col(c).cast("string").alias("value")) for c in categories]
+    long = rows.select(*keys, F.inline(F.array(*cells)))
+    seen = positions.where("value is not null")
+    last = positions.where("value is null").select("category", F.col("position").alias("_unseen"))
+    ones = long.join(seen, ["category", "value"], "left").join(last, "category").select(
+        *keys, F.coalesce("position", "_unseen").alias("feature"), F.lit(1.0).alias("x"))
+    width = positions.agg((F.max("position") + 1).alias("width")).scalar()
+    numbers = [F.struct((width + i).cast("int").alias("feature"), F.col(c).cast("double").alias("x")) for i, c in enumerate(numerics)]
+    return ones.unionByName(rows.select(*keys, F.inline(F.array(*numbers))).where("x != 0"))
+
+
+def long_variances(long: DataFrame, rows: DataFrame) -> DataFrame:
+    """Sample variance of every feature of ``long`` over the rows of ``rows``; features that a row lacks are zero there.
+
+    Sums are taken about each feature's mean: once for the mean, once for the squares, both merging on the map side.
+    """
+    n = rows.agg(F.count("*").cast("double").alias("n")).scalar()
+    sums = long.groupBy("feature").agg(F.sum("x").alias("s"), F.count("*").alias("k")).withColumn("mean", F.col("s") / n)
+    apart = long.join(sums.select("feature", "mean"), "feature").groupBy("feature").agg(
+        F.sum((F.col("x") - F.col("mean")) * (F.col("x") - F.col("mean"))).alias("inner"))
+    zeros = (n - F.col("k")) * F.col("mean") * F.col("mean")
+    out = sums.join(apart, "feature").select("feature", ((F.col("inner") + zeros) / (n - 1)).alias("variance"))
+    return out.withColumn("constant", F.col("variance") == 0.0)
+
+
 def linear_scores(encoded: DataFrame, model: Model, keys: Sequence[str]) -> DataFrame:
     """Probability ``p`` of every row by joining its features with the weights."""
     total = long_form(encoded, keys).join(weights(model), "feature").groupBy(*keys).agg(F.sum(F.col("x") * F.col("weight")).alias("_s"))

@@ -163,6 +163,47 @@ def _stored(spark, model):
     return path
 
 
+def _positions_sql() -> str:
+    """Places of the one-hot features: falling counts, then values, one more per category for unseen values."""
+    parts = " UNION ALL ".join(f"SELECT {i} AS part, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM prepared WHERE split = 'train' GROUP BY {c}"
+                               for i, c in enumerate(models.CATEGORIES))
+    return f"""SELECT part, value, row_number() OVER (ORDER BY part, n DESC, value) - 1 + part AS position FROM ({parts})"""
+
+
+NUMBERS = [*RAINFALL_FEATURES, "threshold_mm"]
+ONES = " UNION ALL ".join(
+    f"SELECT r.station_id, prediction_time, threshold_mm, split, CAST(coalesce(p.position, (SELECT max(position) + 1 FROM pos WHERE part = {i})) AS INTEGER) AS feature, 1.0::DOUBLE AS x "
+    f"FROM rows r LEFT JOIN pos p ON p.part = {i} AND p.value = CAST(r.{c} AS VARCHAR)" for i, c in enumerate(models.CATEGORIES))
+REST = " UNION ALL ".join(
+    f"SELECT station_id, prediction_time, threshold_mm, split, CAST((SELECT max(position) + 2 FROM pos) + {i} AS INTEGER), CAST({c} AS DOUBLE) FROM rows WHERE {c} <> 0"
+    for i, c in enumerate(NUMBERS))
+LONG = f"""rows AS (SELECT * FROM prepared, (VALUES {', '.join(f'({float(t)}::DOUBLE)' for t in b.LABELS)}) l(threshold_mm)),
+pos AS ({_positions_sql()}), cells AS ({ONES} UNION ALL {REST})"""
+
+
+def _long(spark, sf, rows):
+    positions = trees.category_positions(_part(spark, sf, "train"), models.CATEGORIES)
+    return trees.encoded_long(rows, positions, models.CATEGORIES, NUMBERS, KEYS)
+
+
+@query("M7_onehot_long", f"SELECT * EXCLUDE (split) REPLACE (round(x, 6) AS x) FROM (WITH {LONG} SELECT * FROM cells)", "prepared")
+def _(spark, sf):
+    """All splits, so values that the training rows lack too."""
+    return _long(spark, sf, features.expand_thresholds(b.prepared(spark, sf), b.LABELS))
+
+
+VARIANCES = f"""SELECT feature, round(variance, 6) AS variance, variance = 0 AS constant FROM (WITH {LONG}, t AS (SELECT count(*) AS n FROM rows WHERE split = 'train')
+SELECT feature, (sum((x - m) * (x - m)) + (any_value(n) - count(*)) * any_value(m) * any_value(m)) / (any_value(n) - 1) AS variance FROM (
+SELECT *, sum(x) OVER (PARTITION BY feature) / n AS m FROM cells, t WHERE split = 'train') GROUP BY feature)"""
+
+
+@query("M9_long_variances", VARIANCES, "prepared")
+def _(spark, sf):
+    """Features that some training row has; the others are zero throughout."""
+    train = _train(spark, sf)
+    return trees.long_variances(_long(spark, sf, train), train)
+
+
 @query("M10_optimality", """SELECT (SELECT sum(n + 1) FROM (SELECT count(DISTINCT c) AS n FROM (SELECT 1 AS k, station_id AS c FROM prepared WHERE split = 'train'
   UNION ALL SELECT 2, CAST(hour AS VARCHAR) FROM prepared WHERE split = 'train' UNION ALL SELECT 3, CAST(month AS VARCHAR) FROM prepared WHERE split = 'train') GROUP BY k))::BIGINT + 4 AS features,
   0::BIGINT AS inside_failures, 0::BIGINT AS bound_failures, 0::BIGINT AS intercept_failures""", "prepared")

@@ -7,7 +7,7 @@ import __spark_entry__ as registered
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 # Fits need complete windows of both classes, which the smallest tables lack.
-FITTED = {"M10_optimality", "M12_forest_as_tables", "M13_boosted_as_tables", "M13_boosted_leaf_counts", "M14_scores_as_tables"}
+FITTED = {"M7_onehot_long", "M9_long_variances", "M10_optimality", "M12_forest_as_tables", "M13_boosted_as_tables", "M13_boosted_leaf_counts", "M14_scores_as_tables"}
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
 
 
