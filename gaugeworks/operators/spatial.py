@@ -61,15 +61,32 @@ def raster(bounds: DataFrame, nx: int, pad: float = 3_000.0, least_rows: int = 9
                         (F.col("miny") + height * F.col("iy") / (F.col("ny") - 1)).alias("y"))
 
 
+def _collected_features(spark: SparkSession, path: str) -> DataFrame:
+    """(feature, geometry) of a feature collection, numbered in the order of the file; features without coordinates do not count.
+
+    The text is cut at the word that starts every feature, so one document is read by as many tasks as it has blocks. A
+    geometry is the one object with coordinates; it holds no further object, and never the word.
+    """
+    start = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).alias("_block")
+    pieces = spark.read.option("lineSep", '"Feature"').text(path).select(start, F.monotonically_increasing_id().alias("_piece"), "value")
+    objects = F.regexp_extract_all("value", F.lit(r'\{[^{}]*"coordinates"[^{}]*\}'), F.lit(0))
+    found = pieces.select("_block", "_piece", F.posexplode(objects).alias("_place", "_text")).select(
+        "_block", "_piece", "_place", F.from_json("_text", GEOMETRY).alias("geometry"))
+    placed = found.withColumn("_own", F.row_number().over(Window.partitionBy("_block").orderBy("_piece", "_place")) - 1)
+    # Offsets of the blocks: as many rows as the file has blocks.
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = found.groupBy("_block").agg(F.count("*").alias("n")).select("_block", before.alias("_base"))
+    return placed.join(blocks, "_block").select((F.col("_base") + F.col("_own")).alias("feature"), "geometry")
+
+
 def boundary_edges(spark: SparkSession, path: str, one_document: bool = True) -> DataFrame:
     """Edges of every ring of a GeoJSON boundary.
 
-    ``one_document`` reads a feature collection; otherwise the file has one feature per line
-    and can be split over tasks. Polygons and multi-polygons are accepted.
+    ``one_document`` reads a feature collection; otherwise the file has one feature per line. Both are split over
+    tasks. Polygons and multi-polygons are accepted.
     """
     if one_document:
-        features = (spark.read.option("multiLine", True).schema(f"features array<struct<geometry: {GEOMETRY}>>").json(path)
-                    .select(F.posexplode("features").alias("feature", "f")).select("feature", "f.geometry"))
+        features = _collected_features(spark, path)
     else:
         features = (spark.read.schema(f"id long, geometry {GEOMETRY}").json(path)
                     .select(F.col("id").alias("feature"), "geometry"))

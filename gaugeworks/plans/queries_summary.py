@@ -624,13 +624,31 @@ CASE WHEN edge <= 2 THEN hi_x ELSE lo_x END AS x2, CASE WHEN edge IN (2, 3) THEN
 FROM ({HULL}), (SELECT unnest([1, 2, 3, 4]) AS edge)""", "stations")
 def _(spark, sf):
     """Bounding boxes of the nations, written as one GeoJSON feature per line and read back."""
+    path = f"{scratch_dir(spark)}/boundary"
+    _boxes(spark, sf).select(F.to_json(F.struct(F.col("s_nationkey").alias("id"), "geometry"))).write.text(path)
+    return spatial.boundary_edges(spark, path, one_document=False)
+
+
+def _boxes(spark, sf):
     nation = b.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("point_id"), "s_nationkey")
     box = b.stations(spark, sf).join(nation, "point_id").groupBy("s_nationkey").agg(
         F.min("longitude").alias("x0"), F.max("longitude").alias("x1"), F.min("latitude").alias("y0"),
         F.max("latitude").alias("y1"))
     corner = [F.array(x, y) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0"))]
     geometry = F.struct(F.lit("Polygon").alias("type"), F.array(F.array(*corner)).alias("coordinates"))
-    path = f"{scratch_dir(spark)}/boundary"
-    box.select(F.to_json(F.struct(F.col("s_nationkey").alias("id"), geometry.alias("geometry")))).write.text(path)
-    return spatial.boundary_edges(spark, path, one_document=False)
+    return box.select("s_nationkey", geometry.alias("geometry"))
 
+
+@query("S12_feature_collection", f"""SELECT dense_rank() OVER (ORDER BY feature) - 1 AS feature, 0 AS polygon, 0 AS ring, CAST(edge AS INTEGER) AS edge,
+CASE WHEN edge IN (1, 4) THEN lo_x ELSE hi_x END AS x1, CASE WHEN edge <= 2 THEN lo_y ELSE hi_y END AS y1,
+CASE WHEN edge <= 2 THEN hi_x ELSE lo_x END AS x2, CASE WHEN edge IN (2, 3) THEN hi_y ELSE lo_y END AS y2
+FROM ({HULL}), (SELECT unnest([1, 2, 3, 4]) AS edge)""", "stations")
+def _(spark, sf):
+    """The same boxes as one document, which many tasks read."""
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("s_nationkey").cast("string").alias("name")).alias("properties"), "geometry")
+    listed = F.array_sort(F.collect_list(F.struct("s_nationkey", F.to_json(feature).alias("text"))))
+    texts = F.array_join(F.transform(listed, lambda f: f["text"]), ", ")
+    document = F.concat(F.lit('{"type": "FeatureCollection", "features": ['), texts, F.lit("]}"))
+    path = f"{scratch_dir(spark)}/boundary"
+    _boxes(spark, sf).agg(document.alias("value")).write.text(path)
+    return spatial.boundary_edges(spark, path)

@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeworks.operators import clean, evaluate, features, models, summaries, validate
+from gaugeworks.functions.values import non_finite
+from gaugeworks.operators import clean, cohorts, evaluate, features, models, spatial, summaries, validate
 from gaugeworks.operators.checks import require_empty, require_none
 from gaugeworks.sources import readers, sinks
 from gaugeworks.sources.scratch import materialise
-from gaugeworks.spec import LABEL_THRESHOLDS, SeriesSpec, SplitCuts
+from gaugeworks.spec import LABEL_THRESHOLDS, SPATIAL_YEARS, STUDY_YEARS, SeriesSpec, SplitCuts
 
 
 def clean_archive(spark: SparkSession, files: Mapping[int, str], path: str,
@@ -70,6 +71,48 @@ def explore(clean_table: DataFrame, s: SeriesSpec = SeriesSpec()) -> dict[str, D
         "positive_histogram": summaries.histogram(rows, ["year"], s)}
 
 
+def analyse(station_year: DataFrame, station_month: DataFrame, s: SeriesSpec = SeriesSpec(), thresholds: Sequence[float] = (80.0, 90.0),
+            years: Sequence[int] = STUDY_YEARS, spatial_years: Sequence[int] = SPATIAL_YEARS, min_coverage: float = 80.0) -> dict[str, DataFrame]:
+    """Coverage sensitivity, cohorts and map points of summaries that break no rule.
+
+    Both tables are as of :func:`explore`; write them first. Values or coordinates that are no finite numbers end the job.
+    """
+    require_empty(cohorts.validate_summary(station_year, ["year", s.entity], s, years), "The annual summary breaks its rules")
+    require_empty(cohorts.validate_summary(station_month, ["year", "month", s.entity], s, years), "The monthly summary breaks its rules")
+    points = cohorts.spatial_summary(station_year, s, spatial_years, min_coverage)
+    shown = ("rainy_pct", "mean_mm_per_interval", "latitude", "longitude")
+    require_none(points, {f"unusable_{c}": F.col(c).isNull() | non_finite(c) for c in shown}, "Map points")
+    return {
+        "annual_sensitivity": cohorts.annual_sensitivity(station_year, s, thresholds, years),
+        "monthly_sensitivity": cohorts.monthly_sensitivity(station_month, s, (0.0, *thresholds)),
+        "cohort_audit": cohorts.cohort_audit(station_year, s, thresholds, years),
+        "map_points": points, "map_rows": cohorts.spatial_rows(station_year, s, spatial_years, min_coverage)}
+
+
+def surface(points: DataFrame, value: str, boundary: DataFrame, nx: int = 120, pad: float = 3_000.0, distance: float = 0.0,
+            neighbours: int = 8, band: float = 500.0, entity: str = "station_id") -> DataFrame:
+    """Interpolated ``value`` on a raster over the map points, cells inside ``boundary`` only.
+
+    ``boundary`` has the edges of :func:`spatial.boundary_edges` in degrees. Cells farther than ``distance`` metres
+    from every point are left out; zero keeps all. One index of the points serves both searches; the result is
+    written, and the index released.
+    """
+    placed = spatial.project_tm(points).select(F.col(entity).alias("point_id"), "x", "y", value)
+    index = spatial.point_index(placed, neighbours).persist()
+    try:
+        cells = spatial.raster(spatial.bounds_of(placed), nx, pad).withColumn("target_id", F.struct("ix", "iy"))
+        edges = boundary
+        for end in ("1", "2"):
+            own = edges.withColumnsRenamed({f"x{end}": "longitude", f"y{end}": "latitude"})
+            edges = spatial.project_tm(own).drop("longitude", "latitude").withColumnsRenamed({"x": f"x{end}", "y": f"y{end}"})
+        inside = spatial.inside(cells, edges, band, "target_id")
+        near = spatial.distance_mask(inside, placed, distance, index=index)
+        found = spatial.idw(near, placed, value, neighbours, index=index)
+        return materialise(found.select("target_id.ix", "target_id.iy", "x", "y", "neighbours", "estimate"), "surface")
+    finally:
+        index.unpersist()
+
+
 def prepare(clean_table: DataFrame, path: str, s: SeriesSpec = SeriesSpec(), cuts: SplitCuts = SplitCuts()) -> DataFrame:
     """Prepared samples in a new partitioned table; returns the retained counts."""
     series = clean.normalize(clean_table, s).withColumnRenamed("prediction_time", s.time)
@@ -79,37 +122,70 @@ def prepare(clean_table: DataFrame, path: str, s: SeriesSpec = SeriesSpec(), cut
     return sinks.write_new_partitioned(samples, path)
 
 
+def _kept(trained: tuple[PipelineModel, DataFrame], base: DataFrame, path: str | None, thresholds: Sequence[float]) -> tuple[PipelineModel, DataFrame]:
+    """Store the chosen model if there is a path, and check it on rows of the validation split."""
+    if path is not None:
+        store_model(trained[0], path, features.expand_thresholds(base.where(F.col("split") == "validation"), thresholds))
+    return trained
+
+
 def train_lr(base: DataFrame, regs: Sequence[float] = (0.0, 0.01, 0.1),
-             thresholds: Sequence[float] = LABEL_THRESHOLDS) -> tuple[PipelineModel, DataFrame]:
-    """Monotone logistic regression, strength chosen on the validation split."""
+             thresholds: Sequence[float] = LABEL_THRESHOLDS, path: str | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Monotone logistic regression, strength chosen on the validation split, stored at ``path`` if given."""
     def candidates(train: DataFrame) -> dict[str, object]:
         caps = models.coefficient_caps(models.feature_variances(train))
         return {f"reg={r}": models.monotone_lr(caps, r) for r in regs}
 
-    return models.train_and_select(base, candidates, thresholds, check=models.check_monotone_lr)
+    return _kept(models.train_and_select(base, candidates, thresholds, check=models.check_monotone_lr), base, path, thresholds)
 
 
 def train_forest(base: DataFrame, trees: int = 50, depths: Sequence[int] = (5, 8), seed: int = 5208,
-                 thresholds: Sequence[float] = LABEL_THRESHOLDS) -> tuple[PipelineModel, DataFrame]:
-    """Random forest, depth chosen on the validation split."""
-    return models.train_and_select(
-        base, lambda _: {f"depth={d}": models.forest(trees, d, seed) for d in depths}, thresholds)
+                 thresholds: Sequence[float] = LABEL_THRESHOLDS, path: str | None = None) -> tuple[PipelineModel, DataFrame]:
+    """Random forest, depth chosen on the validation split, stored at ``path`` if given."""
+    return _kept(models.train_and_select(
+        base, lambda _: {f"depth={d}": models.forest(trees, d, seed) for d in depths}, thresholds), base, path, thresholds)
 
 
 def train_boosted(base: DataFrame, train_fraction: float = 0.01, max_iter: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42,
-                  thresholds: Sequence[float] = LABEL_THRESHOLDS) -> tuple[PipelineModel, DataFrame]:
+                  thresholds: Sequence[float] = LABEL_THRESHOLDS, path: str | None = None) -> tuple[PipelineModel, DataFrame]:
     """Boosted trees fitted on a hash sample of stations and times, drawn before rows are expanded.
 
     Only the rows that fit the trees are sampled: categories come from all training rows, and all
-    validation rows are scored.
+    validation rows are scored. The model is stored at ``path`` if given.
     """
     train = base.where(F.col("split") == "train")
     encoder, bins = models.ordinal_encoder(train)
     keys = ["station_id", "prediction_time"]
     sampled = features.hash_sample(train, keys, train_fraction, seed).unionByName(
         base.where(F.col("split") == "validation"))
-    return models.train_and_select(
-        sampled, lambda _: {"boosted": models.boosted(max_iter, depth, step, bins, seed)}, thresholds, encoder)
+    return _kept(models.train_and_select(
+        sampled, lambda _: {"boosted": models.boosted(max_iter, depth, step, bins, seed)}, thresholds, encoder), base, path, thresholds)
+
+
+def train_on_examples(train: DataFrame, valid: DataFrame, max_iter: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42,
+                      thresholds: Sequence[float] = LABEL_THRESHOLDS) -> tuple[PipelineModel, DataFrame]:
+    """Boosted trees on tables of ready examples, or of prepared rows, in either known layout.
+
+    Rows with an unusable input are left out. A label other than 0 and 1, or a threshold that is not one of
+    ``thresholds``, ends the job.
+    """
+    def ready(rows: DataFrame, what: str) -> DataFrame:
+        out = readers.adapt_examples(rows, thresholds)
+        if "invalid_example" not in out.columns:
+            return out
+        require_none(out, {"label_or_threshold": F.col("invalid_example")}, f"{what} examples")
+        return out.drop("invalid_example")
+
+    fit, check = ready(train, "Training"), ready(valid, "Validation")
+    encoder, bins = models.ordinal_encoder(fit)
+    fit, check = (encoder.transform(d).select("features", "label", "threshold_mm").persist() for d in (fit, check))
+    try:
+        evaluate.require_both_classes(evaluate.class_rates(fit), len(thresholds))
+        _, model, report = models.select_candidate({"boosted": models.boosted(max_iter, depth, step, bins, seed)}, fit, check, len(thresholds))
+    finally:
+        fit.unpersist()
+        check.unpersist()
+    return PipelineModel([*encoder.stages, model]), report
 
 
 def store_model(model: PipelineModel, path: str, sample: DataFrame) -> str:

@@ -253,3 +253,25 @@ def test_boundary_file_and_cover(spark, tmp_path):
     pts = spark.createDataFrame([(i, *p) for i, p in places.items()], "point_id int, x double, y double")
     for band in (0.7, 5.0, 100.0):
         assert rows(spatial.inside(pts, edges, band).select("point_id"), "point_id") == [(1,), (3,), (4,), (5,), (8,)]
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_one_document_is_read_by_many_tasks(spark, tmp_path, indent):
+    rng = np.random.default_rng(10)
+    features = []
+    for i in range(300):
+        shape = [[[float(x), float(y)] for x, y in rng.random((4, 2))] for _ in range(2)]
+        geometry = {"type": "Polygon", "coordinates": shape} if i % 3 else {"coordinates": [shape, shape[:1]], "type": "MultiPolygon"}
+        parts = {"type": "Feature", "properties": {"name": "a {x}" if i % 2 else 'a "Feature" b', "id": i}, "geometry": geometry}
+        features.append({k: parts[k] for k in (("geometry", "properties", "type") if i % 5 == 0 else parts)})
+    (tmp_path / "all.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=indent))
+    (tmp_path / "lines.json").write_text("\n".join(json.dumps({"id": i, **f}) for i, f in enumerate(features)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        whole = spatial.boundary_edges(spark, str(tmp_path / "all.geojson"))
+        assert spatial._collected_features(spark, str(tmp_path / "all.geojson")).select("feature").distinct().count() == 300
+        assert spark.read.option("lineSep", '"Feature"').text(str(tmp_path / "all.geojson")).rdd.getNumPartitions() > 3
+        lines = spatial.boundary_edges(spark, str(tmp_path / "lines.json"), one_document=False)
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, lines.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -9,7 +9,7 @@ from compare import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import models
+from gaugeworks.operators import features, models
 from gaugeworks.plans import workflow
 from gaugeworks.sources import readers, sinks
 from gaugeworks.spec import SplitCuts
@@ -88,8 +88,16 @@ def test_model_from_archive(spark, tmp_path):
     assert result["reliability"].agg(F.sum("n")).first()[0] == 4 * 2 * 682
     sample = base.where("split = 'validation'").withColumn("threshold_mm", F.lit(1.0)).withColumn("label", F.lit(0.0))
     assert models.load_model(spark, workflow.store_model(model, str(tmp_path / "model"), sample)).stages
-    forest, depths = workflow.train_forest(base, 4, (2, 3), thresholds=levels)
+    forest, depths = workflow.train_forest(base, 4, (2, 3), thresholds=levels, path=str(tmp_path / "forest"))
     boosted, _ = workflow.train_boosted(base, 1, max_iter=2, depth=2, thresholds=levels)
+    assert models.score(models.load_model(spark, str(tmp_path / "forest")), sample).count() == 2 * 682
+    parts = [base.where(F.col("split") == p) for p in ("train", "validation")]
+    ready = [features.expand_thresholds(p, levels) for p in parts]
+    for train, valid in (parts, ready):
+        on_examples, chosen = workflow.train_on_examples(train, valid, max_iter=2, depth=2, thresholds=levels)
+        assert chosen.where("selected").count() == 1 and models.score(on_examples, sample).count() == 2 * 682
+    with pytest.raises(ValueError, match="label_or_threshold"):
+        workflow.train_on_examples(ready[0].withColumn("label", F.lit(2.0)), ready[1], thresholds=levels)
     assert depths.count() == 2
     for other in (forest, boosted):
         assert models.score(other, sample).where("p BETWEEN 0 AND 1").count() == 2 * 682
@@ -119,3 +127,32 @@ def test_sorted_extract_is_ordered_over_its_files(spark, tmp_path):
         parts = sorted(path.glob("part-*"))
         assert len(parts) == files
         assert [r.id for p in parts for r in spark.read.parquet(str(p)).collect()] == list(range(100))
+
+
+def test_analysis_from_summaries_to_a_surface(spark, tmp_path):
+    """Twelve stations over four years, two of them badly covered, one summary with a broken rule."""
+    rnd = random.Random(4)
+    slots = {y: (366 if y % 4 == 0 else 365) * 288 for y in (2021, 2022, 2023, 2024)}
+    yearly, monthly = [], []
+    for i in range(12):
+        for y, n in slots.items():
+            seen = int(n * (0.5 if i < 2 else 0.95))
+            yearly.append((y, f"S{i}", seen, seen // 10, seen / 20.0, n, 100.0 * seen / n, 1.25 + i * 0.01, 103.7 + (i % 4) * 0.05))
+            monthly.append((y, 1, f"S{i}", 8000, rnd.randrange(8000), 40.0, 31 * 288, 100.0 * 8000 / (31 * 288)))
+    head = "observed_intervals long, rainy_intervals long, recorded_rainfall_mm double, calendar_expected_intervals long, calendar_coverage_pct double"
+    station_year = spark.createDataFrame(yearly, f"year int, station_id string, {head}, latitude double, longitude double")
+    station_month = spark.createDataFrame(monthly, f"year int, month int, station_id string, {head}")
+    years = tuple(slots)
+    out = workflow.analyse(station_year, station_month, years=years, spatial_years=years)
+    assert out["map_points"].count() == 10 and out["map_rows"].count() == 40
+    assert out["annual_sensitivity"].where("cohort = 'balanced_all_years'").agg(F.max("stations")).first()[0] == 10
+    assert out["monthly_sensitivity"].where("month = 2 and stations > 0").isEmpty() and out["cohort_audit"].where("selected").count() > 0
+    with pytest.raises(ValueError, match="annual summary"):
+        workflow.analyse(station_year.withColumn("rainy_intervals", F.col("observed_intervals") + 1), station_month, years=years, spatial_years=years)
+    square = [(103.68, 1.24), (103.9, 1.24), (103.9, 1.4), (103.68, 1.4), (103.68, 1.24)]
+    edges = spark.createDataFrame([(0, 0, 0, i, *a, *b) for i, (a, b) in enumerate(zip(square, square[1:]))],
+                                  "feature int, polygon int, ring int, edge int, x1 double, y1 double, x2 double, y2 double")
+    cells = workflow.surface(out["map_points"], "rainy_pct", edges, nx=20, distance=4_000.0)
+    every = workflow.surface(out["map_points"], "rainy_pct", edges, nx=20)
+    assert 0 < cells.count() < every.count() < 20 * 90
+    assert cells.where("neighbours <> 8 or abs(estimate - 10) > 0.01").isEmpty()
