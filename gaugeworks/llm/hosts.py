@@ -1,8 +1,11 @@
 """URL filter: rules first, then trust and distrust that spread over links between hosts.
 
-Pages allowed by a rule make their hosts trusted seeds, pages blocked by one make them distrusted seeds.
-Personalised PageRank carries trust along links and distrust against them: who links to a blocked
-host is suspect, not who is linked from it. A host whose share of distrust reaches a threshold is blocked.
+Every host that rules speak of is a seed of weight one, split into trust and distrust by its pages that were allowed and
+blocked, so that a host with many pages weighs no more than another and both scores have one scale. Personalised
+PageRank carries trust along links and distrust against them: who links to a blocked host is suspect, not who
+is linked from it. Rounds go on until every host that can be reached is reached and no rank still grows. A
+host whose share of distrust reaches a threshold is blocked, and so is one of whose pages rules block all they judge,
+whatever links to it.
 """
 
 from __future__ import annotations
@@ -14,7 +17,9 @@ from gaugeworks.sources.scratch import materialise
 
 HOST, PATH = r"(?s)^.*?://([^/?#]*)", r"(?s)^.*?://[^/?#]*([^?#]*)"
 LINK = r"""(?i)\bhref\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]*)"""
-DAMPING, ROUNDS, THRESHOLD = 0.85, 10, 0.9
+DAMPING, THRESHOLD = 0.85, 0.9
+#: Rounds end when no host gains more than this share of its rank.
+STILL = 1e-6
 
 #: Rules as (verdict, host, path).
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -47,11 +52,15 @@ def links(pages: DataFrame) -> DataFrame:
     return found.groupBy("source", "target").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, cut: int = 5) -> DataFrame:
-    """(host, trust, distrust) from seeds (host, trust, distrust) that each add up to one.
+def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, still: float = STILL) -> DataFrame:
+    """(host, trust, distrust) from seeds (host, trust, distrust).
 
-    A round is one equi-join of hosts with their edges and one aggregate that combines before its shuffle.
-    Every ``cut`` rounds the ranks are written to the shared folder. What reaches a host without links is not passed on.
+    Ranks are the sum of what arrives after 0, 1, 2, ... links. A round passes on what arrived last: one equi-join of hosts
+    with their edges and one aggregate that combines before its shuffle. It ends when nothing arrived, or no host
+    gained more than ``still`` of its rank; a host reached for the first time gains all of it. So long
+    chains take as many rounds as they have links; only what a double cannot hold, after some 4000 links, is lost.
+    Each round's tables are written to the shared folder; the driver sees one number a round. What reaches a host
+    without links is not passed on.
     """
     out = edges.groupBy("source").agg(F.sum("weight").alias("all_out"))
     into = edges.groupBy("target").agg(F.sum("weight").alias("all_in"))
@@ -59,34 +68,38 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
     forward = edges.join(out, "source").select(F.col("source").alias("host"), F.col("target").alias("to"), (F.col("weight") / F.col("all_out")).alias("t"), zero.alias("d"))
     backward = edges.join(into, "target").select(F.col("target").alias("host"), F.col("source").alias("to"), zero.alias("t"), (F.col("weight") / F.col("all_in")).alias("d"))
     steps = materialise(forward.union(backward).groupBy("host", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d")), "steps")
-    base = seeds.select("host", (F.col("trust") * (1 - damping)).alias("trust"), (F.col("distrust") * (1 - damping)).alias("distrust"))
-    ranks = seeds.select("host", "trust", "distrust")
-    for k in range(rounds):
-        passed = ranks.join(steps, "host").select(F.col("to").alias("host"), (F.col("trust") * F.col("t") * damping).alias("trust"),
-                                                  (F.col("distrust") * F.col("d") * damping).alias("distrust"))
-        ranks = base.union(passed).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if (k + 1) % cut == 0:
-            ranks = materialise(ranks, "ranks")
-    return ranks
+    start = [(F.col(c) * (1 - damping)).alias(n) for n in ("", "new_") for c in ("trust", "distrust")]
+    ranks = materialise(seeds.select("host", *start).toDF("host", "trust", "distrust", "new_trust", "new_distrust"), "ranks")
+    gain = F.col("new_trust") + F.col("new_distrust")
+    while True:
+        passed = ranks.where(gain > 0).join(steps, "host").groupBy(F.col("to").alias("host")).agg(
+            F.sum(F.col("new_trust") * F.col("t") * damping).alias("trust"), F.sum(F.col("new_distrust") * F.col("d") * damping).alias("distrust"))
+        arrived = passed.withColumns({"new_trust": F.col("trust"), "new_distrust": F.col("distrust")})
+        both = ranks.withColumns({"new_trust": zero, "new_distrust": zero}).unionByName(arrived)
+        ranks = materialise(both.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("trust", "distrust", "new_trust", "new_distrust")]), "ranks")
+        most = ranks.agg(F.max(F.try_divide(gain, F.col("trust") + F.col("distrust")))).first()[0]
+        if not most or most <= still:
+            return ranks.select("host", "trust", "distrust")
 
 
 def judged(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, host, path, rule, verdict, trust, distrust.
 
     A page with a rule has the rule's verdict. Others are blocked if their host's distrust is at least
-    ``threshold`` of its trust and distrust together; hosts that neither reaches are allowed. Null urls and
+    ``threshold`` of its trust and distrust together, or if rules blocked all of its pages that they judge; hosts that
+    neither trust nor distrust reaches are allowed. Null urls and
     urls without :// have an empty host and path, and are allowed. Null html has no links. Repeated pages
     count as often as they occur. Other columns are ignored; an empty table gives an empty result.
     """
     rows = ruled(pages.select("page_id", "url", "html"), rules)
-    seeds = rows.where("ruling is not null and host != ''").groupBy("host").agg(
-        F.count_if(F.col("ruling") == "allow").alias("good"), F.count_if(F.col("ruling") == "block").alias("bad"))
-    seeds = materialise(seeds, "seeds")
-    good, bad = seeds.agg(F.sum("good"), F.sum("bad")).first()
-    shares = seeds.select("host", (F.col("good") / max(1, good or 0)).alias("trust"), (F.col("bad") / max(1, bad or 0)).alias("distrust"))
-    ranks = propagate(shares, materialise(links(rows), "links"))
+    judged_pages = rows.where("ruling is not null and host != ''").groupBy("host").agg(
+        F.count_if(F.col("ruling") == "allow").alias("good"), F.count("*").alias("all"))
+    share = F.col("good") / F.col("all")
+    seeds = materialise(judged_pages.select("host", share.alias("trust"), (1 - share).alias("distrust")), "seeds")
+    ranks = propagate(seeds, materialise(links(rows), "links"))
+    ranks = ranks.join(seeds.select("host", (F.col("trust") == 0).alias("only_blocked")), "host", "left")
     lean = rows.select("page_id", "host", "path", "rule", "ruling").join(ranks, "host", "left")
     suspect = F.coalesce(F.col("distrust") > 0, F.lit(False)) & (F.col("distrust") >= threshold * (F.col("trust") + F.col("distrust")))
-    method = F.when(suspect, "block").otherwise("allow")
+    method = F.when(suspect | F.coalesce("only_blocked", F.lit(False)), "block").otherwise("allow")
     return lean.select("page_id", "host", "path", "rule", F.coalesce("ruling", method).alias("verdict"),
                        F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

@@ -73,15 +73,15 @@ def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hosts_sql() -> str:
-    """The filter in SQL, its rounds unrolled."""
+    """The filter in SQL: what arrives after each number of links, summed."""
     host = f"translate(regexp_extract({{0}}, '^[\\s\\S]*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}')"
     ordered = sorted(hosts.RULES, key=lambda r: -len(r[1] + r[2]))
     fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in ordered]
     rule = "CASE " + " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, ordered, strict=True)) + " END"
     ruling = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, ordered, strict=True)) + " END"
     d = hosts.DAMPING
-    sql = f"""
-WITH u AS (SELECT page_id, coalesce(html, '') AS html, {host.format("coalesce(url, '')")} AS host,
+    return f"""
+WITH RECURSIVE u AS (SELECT page_id, coalesce(html, '') AS html, {host.format("coalesce(url, '')")} AS host,
     regexp_extract(coalesce(url, ''), '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 p AS (SELECT *, {rule} AS rule, {ruling} AS ruling FROM u),
 h AS (SELECT host AS source, unnest(regexp_extract_all(html, '{hosts.LINK.replace("'", "''")}', 1)) AS link FROM p),
@@ -89,16 +89,13 @@ g AS (SELECT source, {host.format("CASE WHEN starts_with(link, '//') THEN 'http:
 e AS (SELECT source, target, count(*) AS w FROM g WHERE source <> target AND source <> '' AND target <> '' GROUP BY ALL),
 k AS (SELECT source AS host, target AS dest, w / sum(w) OVER (PARTITION BY source) AS t, 0.0::DOUBLE AS d FROM e
   UNION ALL SELECT target, source, 0.0::DOUBLE, w / sum(w) OVER (PARTITION BY target) FROM e),
-n AS (SELECT host, count(*) FILTER (ruling = 'allow') AS good, count(*) FILTER (ruling = 'block') AS bad FROM p WHERE ruling IS NOT NULL AND host <> '' GROUP BY host),
-r0 AS (SELECT host, good / greatest(1, sum(good) OVER ()) AS trust, bad / greatest(1, sum(bad) OVER ()) AS distrust FROM n)"""
-    for i in range(hosts.ROUNDS):
-        sql += f""",
-r{i + 1} AS (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
-  SELECT host, trust * {1 - d} AS trust, distrust * {1 - d} AS distrust FROM r0
-  UNION ALL SELECT k.dest, r.trust * k.t * {d}, r.distrust * k.d * {d} FROM r{i} r JOIN k USING (host)) GROUP BY host)"""
-    return sql + f"""
-SELECT page_id, host, path, rule, coalesce(ruling, CASE WHEN distrust > 0 AND distrust >= {hosts.THRESHOLD} * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN r{hosts.ROUNDS} USING (host)"""
+n AS (SELECT host, count(*) FILTER (ruling = 'allow') / count(*) AS trust FROM p WHERE ruling IS NOT NULL AND host <> '' GROUP BY host),
+x AS (SELECT 0 AS i, host, trust * {1 - d} AS trust, (1 - trust) * {1 - d} AS distrust FROM n
+  UNION ALL SELECT i + 1, k.dest, sum(x.trust * k.t * {d}), sum(x.distrust * k.d * {d}) FROM x JOIN k USING (host)
+  WHERE i < 300 GROUP BY i, k.dest HAVING sum(x.trust * k.t * {d}) + sum(x.distrust * k.d * {d}) > 0),
+r AS (SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM x GROUP BY host)
+SELECT page_id, host, path, rule, coalesce(ruling, CASE WHEN n.trust = 0 OR (r.distrust > 0 AND r.distrust >= {hosts.THRESHOLD} * (r.trust + r.distrust)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN r USING (host) LEFT JOIN n USING (host)"""
 
 
 @query("op6_url_filter", _hosts_sql())
