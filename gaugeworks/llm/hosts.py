@@ -82,7 +82,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, stil
             return ranks.select("host", "trust", "distrust")
 
 
-def judged(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
+def judged(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, still: float = STILL) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, host, path, rule, verdict, trust, distrust.
 
     A page with a rule has the rule's verdict. Others are blocked if their host's distrust is at least
@@ -96,7 +96,7 @@ def judged(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataF
         F.count_if(F.col("ruling") == "allow").alias("good"), F.count("*").alias("all"))
     share = F.col("good") / F.col("all")
     seeds = materialise(judged_pages.select("host", share.alias("trust"), (1 - share).alias("distrust")), "seeds")
-    ranks = propagate(seeds, materialise(links(rows), "links"))
+    ranks = propagate(seeds, materialise(links(rows), "links"), still=still)
     ranks = ranks.join(seeds.select("host", (F.col("trust") == 0).alias("only_blocked")), "host", "left")
     lean = rows.select("page_id", "host", "path", "rule", "ruling").join(ranks, "host", "left")
     suspect = F.coalesce(F.col("distrust") > 0, F.lit(False)) & (F.col("distrust") >= threshold * (F.col("trust") + F.col("distrust")))
