@@ -136,8 +136,8 @@ def optimality(model: Model, scored: DataFrame, caps: Sequence[float], reg: floa
         F.sum(F.col("_r") * F.col("x")).alias("_g"), F.sum("x").alias("_x"), F.sum(F.col("x") * F.col("x")).alias("_xx"))
     spark = scored.sparkSession
     bounds = weights(model).join(spark.createDataFrame(list(enumerate(map(float, caps))), "feature int, cap double"), "feature")
-    rows = totals.select(F.col("n").cast("double").alias("n"), F.col("mean")).withColumn("_one", F.lit(1))
-    table = bounds.join(parts, "feature", "left").na.fill(0.0, ["_g", "_x", "_xx"]).withColumn("_one", F.lit(1)).join(rows, "_one")
+    rows = totals.select(F.col("n").cast("double")).scalar()
+    table = bounds.join(parts, "feature", "left").na.fill(0.0, ["_g", "_x", "_xx"]).withColumn("n", rows)
     n = F.col("n")
     spread = F.sqrt(F.greatest((F.col("_xx") - F.col("_x") * F.col("_x") / n) / (n - 1), F.lit(0.0)))
     gradient = ratio(F.col("_g") / n, spread) + F.lit(float(reg)) * F.col("weight") * spread
