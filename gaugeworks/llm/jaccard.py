@@ -1,14 +1,18 @@
 """Jaccard join on word n-grams: rare-first prefixes with length, positional and suffix filters.
 
 1. One pass hashes every document's n-grams. It yields the set's size and a 128-bit id of the set, and a
-   sketch of document counts of fixed size, over all documents, which orders n-grams from rare to frequent.
-   Equal sets are one node from here on.
+   sketch of document counts of fixed size, over all documents, which orders n-grams from rare to frequent,
+   and a parity bitmap of the set. Equal sets are one node from here on.
 2. A node's prefix is its rarest n - ceil(t * n) + 1 n-grams. Similar sets share one of them. Rows of
    (n-gram, node) meet by n-gram; n-grams of one node fall away.
-3. Round one tries each node against one centre per n-gram, the node with the smallest id. That makes
-   large groups of near copies stars, with as many pairs as members. Round two tries all pairs of an
-   n-gram's nodes that the stars leave in different components, so no link between components is lost.
-4. Each pair is verified once, on its full sets, after a suffix filter. Links form components.
+3. The first round tries each node against one centre per n-gram, the node with the smallest id. That makes
+   large groups of near copies stars, with as many pairs as members. Each further round tries a node
+   of an n-gram against one node of another component that no filter keeps apart from it, and joins components,
+   until a round finds no link. The last round tries all pairs of an n-gram's nodes that are still in
+   different components, so no link between components is lost.
+4. A pair passes the length and positional filters and a bound from the bitmaps: sets differ in at least as many
+   n-grams as their bitmaps differ in bits. It is then verified once, on its full sets, after a suffix filter.
+   Links form components.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from gaugeworks.llm.components import components
 from gaugeworks.sources.scratch import materialise
 
 CELLS, RANGE = 1 << 22, 1 << 12
+BITS = 10  # a bitmap has 2 ** BITS bits
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -85,23 +90,41 @@ def _cells(grams: np.ndarray) -> np.ndarray:
     return (grams & np.uint64(CELLS - 1)).astype(np.int64)
 
 
+def bitmap(grams: np.ndarray) -> bytes:
+    """A bit per cell: whether the cell holds an odd number of the set's n-grams. The first bits of a hash are its cell."""
+    cells = (grams >> np.uint64(64 - BITS)).astype(np.int64)
+    return np.packbits(np.bincount(cells, minlength=1 << BITS).astype(np.uint8) & 1).tobytes()
+
+
+def _bits(column: pa.Array) -> np.ndarray:
+    """Bitmaps as rows of 64-bit numbers."""
+    return utf8(column)[0].view(np.uint64).reshape(-1, (1 << BITS) // 64)
+
+
+def _close(x: np.ndarray, y: np.ndarray, n_x, n_y, percent: int) -> np.ndarray:
+    """Whether sets of n_x and n_y n-grams with these bitmaps can reach the similarity."""
+    return (100 + percent) * np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64) <= (100 - percent) * (n_x + n_y)
+
+
 def _scan(width: int):
     def run(batches):
         grams, counts = Grams(width), np.zeros(CELLS, np.int64)
         for batch in batches:
-            sizes, ids = [], []
+            sizes, ids, maps = [], [], []
             for s in grams.sets(*utf8(batch.column("text"))):
                 sizes.append(len(s))
                 ids.append(set_id(s))
+                maps.append(bitmap(s))
                 np.add.at(counts, _cells(s), 1)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                                              pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], ["doc_id", "row_key", "n", "sid", "range", "counts"])
+                                              pa.array(maps, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                                             ["doc_id", "row_key", "n", "sid", "bits", "range", "counts"])
         part = np.flatnonzero(counts.reshape(-1, RANGE).any(axis=1))
         packed = [zlib.compress(counts[k * RANGE:(k + 1) * RANGE].astype("<i8").tobytes(), 1) for k in part]
         m = len(part)
-        yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()),
-                                          pa.array(part.astype(np.int32)), pa.array(packed, pa.binary())], ["doc_id", "row_key", "n", "sid", "range", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()),
+                                          pa.array(part.astype(np.int32)), pa.array(packed, pa.binary())], ["doc_id", "row_key", "n", "sid", "bits", "range", "counts"])
 
     return run
 
@@ -168,45 +191,70 @@ def _to_centres(batches):
         yield pa.RecordBatch.from_arrays([*own.columns, *of.columns], [*own.schema.names, *of.schema.names])
 
 
-def _pairs_apart(percent: int):
-    """Rows sorted by gram, with labels: pairs of different labels that pass the length and positional filters."""
-    def group(sid, label, n, pos):
+def _groups(batches):
+    """Rows sorted by gram to batches of whole grams, with the bounds of the grams in each."""
+    rest = None
+    for batch in _with_end(batches):
+        if batch is not None:
+            table = pa.Table.from_batches([*([rest] if rest is not None else []), batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            rows = table.to_batches()[0]
+        elif rest is not None:
+            rows = rest
+        else:
+            return
+        g = rows.column("gram").to_numpy()
+        cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]]))
+        if batch is not None:
+            rest = rows.slice(int(cut[-2]))
+            cut = cut[:-1]
+        if len(cut) > 1:
+            yield rows.slice(0, int(cut[-1])), cut
+
+
+def _several(rows: pa.RecordBatch, cut: np.ndarray) -> np.ndarray:
+    """Whether a gram's rows, sorted by label, have several labels."""
+    label = _ids(rows.column("label"))
+    return (label[cut[:-1]] != label[cut[1:] - 1]).any(axis=1)
+
+
+def _open(batches):
+    """Rows sorted by (gram, label) to those of grams with several labels."""
+    for rows, cut in _groups(batches):
+        yield rows.filter(pa.array(np.repeat(_several(rows, cut), np.diff(cut)))).select(["gram", "sid", "n", "pos"])
+
+
+def _pairs_apart(percent: int, every: bool):
+    """Rows sorted by (gram, label), with bitmaps: pairs of different labels that pass the filters.
+
+    Either ``every`` pair, or for each node of a gram one, its partner with the smallest id.
+    """
+    def group(sid, label, n, pos, bits):
         order = np.argsort(n, kind="stable")
-        sid, label, n, pos = sid[order], label[order], n[order], pos[order]
-        for i in range(len(n) - 1):
-            last = np.searchsorted(n, 100 * n[i] // percent, side="right")
-            j = np.arange(i + 1, max(i + 1, last))
+        sid, label, n, pos, bits = sid[order], label[order], n[order], pos[order], bits[order]
+        by_id = np.lexsort((sid[:, 1], sid[:, 0]))
+        rank = np.empty(len(n), np.int64)
+        rank[by_id] = np.arange(len(n))
+        begin = np.arange(1, len(n) + 1) if every else np.searchsorted(n, -(-percent * n // 100))
+        end = np.searchsorted(n, 100 * n // percent, side="right")
+        for i in range(len(n)):
+            j = np.arange(begin[i], max(begin[i], end[i]))
             most = np.minimum(n[i] - pos[i], n[j] - pos[j])
             j = j[((label[j] != label[i]).any(axis=1)) & ((100 + percent) * most >= percent * (n[i] + n[j]))]
+            j = j[_close(bits[i], bits[j], n[i], n[j], percent)]
             if len(j):
+                j = j if every else j[[np.argmin(rank[j])]]
                 yield np.repeat(sid[i:i + 1], len(j), axis=0), sid[j]
 
     def run(batches):
-        rest = None
-        for batch in _with_end(batches):
-            if batch is not None:
-                table = pa.Table.from_batches([*([rest] if rest is not None else []), batch]).combine_chunks()
-                if not table.num_rows:
-                    continue
-                rows = table.to_batches()[0]
-            elif rest is not None:
-                rows = rest
-            else:
-                return
-            g = rows.column("gram").to_numpy()
-            cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-            ends = np.append(cut[1:], len(g))
-            if batch is not None:
-                rest = rows.slice(int(cut[-1]))
-                cut, ends = cut[:-1], ends[:-1]
-            sid, label = _ids(rows.column("sid")), _ids(rows.column("label"))
+        for rows, cut in _groups(batches):
+            several = _several(rows, cut)
+            sid, label, bits = _ids(rows.column("sid")), _ids(rows.column("label")), _bits(rows.column("bits"))
             n, pos = rows.column("n").to_numpy().astype(np.int64), rows.column("pos").to_numpy().astype(np.int64)
-            changes = np.concatenate([[0], np.cumsum((label[1:] != label[:-1]).any(axis=1))])
             left, right, size = [], [], 0
-            for a, b in zip(cut.tolist(), ends.tolist(), strict=True):
-                if changes[a] == changes[b - 1]:
-                    continue
-                for x, y in group(sid[a:b], label[a:b], n[a:b], pos[a:b]):
+            for a, b in zip(cut[:-1][several].tolist(), cut[1:][several].tolist(), strict=True):
+                for x, y in group(sid[a:b], label[a:b], n[a:b], pos[a:b], bits[a:b]):
                     left.append(x)
                     right.append(y)
                     size += len(x)
@@ -219,6 +267,17 @@ def _pairs_apart(percent: int):
     return run
 
 
+def _possible(percent: int):
+    """Pairs (a, b) with sizes and bitmaps to those that the bitmaps do not keep apart."""
+    def run(batches):
+        for batch in batches:
+            n_x, n_y = batch.column("n_x").to_numpy(), batch.column("n_y").to_numpy()
+            good = _close(_bits(batch.column("x")), _bits(batch.column("y")), n_x, n_y, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
 def _with_end(batches):
     yield from batches
     yield None
@@ -282,7 +341,7 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     the shared folder. The driver sees the sketch (CELLS numbers, whatever the input) and a few counts.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", text_key(F.col("text")))
-    scan = materialise(rows.mapInArrow(_scan(width), "doc_id long, row_key long, n long, sid binary, range int, counts binary"), "scan")
+    scan = materialise(rows.mapInArrow(_scan(width), "doc_id long, row_key long, n long, sid binary, bits binary, range int, counts binary"), "scan")
     counts = np.zeros(CELLS, np.int64)  # in all, and broadcast
     sketch = scan.where("range is not null").select("range", "counts").repartition("range").mapInArrow(_add_up, "range int, counts binary")
     for r in sketch.collect():
@@ -298,7 +357,8 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     # Rows by id, where null counts as 0, and text: rows that this mixes up have one set. A compressed
     # text is a third of the hashes of its set, so texts travel to the verification.
     id_, key = F.coalesce("doc_id", F.lit(0)).alias("id"), ["id", "row_key"]
-    wanted = posts.select("sid").union(posts.select("c_sid")).distinct().join(nodes, "sid").select("sid", "at.doc_id", "at.row_key")
+    wanted = materialise(posts.select("sid").union(posts.select("c_sid")).distinct().join(nodes, "sid").select("sid", "at.doc_id", "at.row_key"), "wanted")
+    maps = materialise(scan.where("n > 0").select("sid", "n", "bits").dropDuplicates(["sid"]).join(wanted.select("sid"), "sid", "left_semi"), "maps")
     packed = rows.select(id_, "row_key", "text").mapInArrow(_compressed, "id long, row_key long, packed binary")
     texts = materialise(packed.join(wanted.select("sid", id_, "row_key").distinct(), key).dropDuplicates(key).select("sid", "packed"), "texts")
 
@@ -311,14 +371,42 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     near = posts.where((F.lit(100 + percent) * most >= F.lit(percent) * (F.col("n") + F.col("c_n")))
                        & (F.lit(100) * F.least("n", "c_n") >= F.lit(percent) * F.greatest("n", "c_n")))
     starred = near.select(F.col("sid").alias("a"), F.col("c_sid").alias("b")).distinct()
-    # Without stars every set is a component of its own, and round two takes all pairs.
-    stars = verified(starred.limit(0) if all_links else starred)
+    both = (starred.join(maps.select(F.col("sid").alias("a"), F.col("n").alias("n_x"), F.col("bits").alias("x")), "a")
+            .join(maps.select(F.col("sid").alias("b"), F.col("n").alias("n_y"), F.col("bits").alias("y")), "b"))
+    # Without stars every set is a component of its own, and the last round takes all pairs.
+    tried = materialise((both.limit(0) if all_links else both).mapInArrow(_possible(percent), "a binary, b binary"), "pairs")
+    links = stars = verified(tried)
+
+    def labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+        return rows.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+
+    def by_gram(rows: DataFrame) -> DataFrame:
+        return rows.repartition("gram").sortWithinPartitions("gram", "label")
+
     label = components(stars).select(F.col("node").alias("sid"), F.col("root").alias("label"))
     members = posts.select("gram", "sid", "n", "pos").union(posts.select("gram", "c_sid", "c_n", "c_pos").distinct())
-    apart = (members.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid")).repartition("gram")
-             .sortWithinPartitions("gram", "label").mapInArrow(_pairs_apart(percent), "a binary, b binary"))
-    rest = verified(apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    roots = components(stars.union(rest))
+    apart = materialise(by_gram(labelled(members, label)).mapInArrow(_open, "gram long, sid binary, n int, pos int"), "apart")
+    label = labelled(apart.select("sid").distinct(), label)
+
+    def untried(every: bool) -> DataFrame:
+        rows = apart.join(label, "sid").join(maps.select("sid", "bits"), "sid")
+        pairs = by_gram(rows).mapInArrow(_pairs_apart(percent, every), "a binary, b binary")
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(
+            tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+
+    while not all_links:
+        pairs = materialise(untried(False), "pairs")
+        more = verified(pairs)
+        if more.isEmpty():
+            break
+        tried, links = tried.union(pairs), links.union(more)
+        ends = more.join(label.withColumnsRenamed({"sid": "a", "label": "at_a"}), "a").join(label.withColumnsRenamed({"sid": "b", "label": "at_b"}), "b")
+        merged = components(ends.select(F.col("at_a").alias("a"), F.col("at_b").alias("b"))).select(F.col("node").alias("label"), "root")
+        label = materialise(label.join(merged, "label", "left").select("sid", F.coalesce("root", "label").alias("label")), "labels")
+    if not all_links:
+        tried = tried.union(pairs)
+    rest = verified(untried(True))
+    roots = components(links.union(rest))
     member = nodes.select("sid", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     firsts = materialise(member.join(member.groupBy("root").agg(F.min("at").alias("first")), "root").select("sid", "first"), "firsts")
     result = lines.join(firsts, "sid", "left")
