@@ -228,7 +228,8 @@ def _open(batches):
 def _pairs_apart(percent: int, every: bool):
     """Rows sorted by (gram, label), with bitmaps: pairs of different labels that pass the filters.
 
-    Either ``every`` pair, or for each node of a gram one, its partner with the smallest id.
+    Either ``every`` pair, or each row that has a partner, with the one of the smallest id. The filters are
+    symmetric and labels only merge, so a row without a partner is of no use to later rounds.
     """
     def group(sid, label, n, pos, bits):
         order = np.argsort(n, kind="stable")
@@ -245,7 +246,14 @@ def _pairs_apart(percent: int, every: bool):
             j = j[_close(bits[i], bits[j], n[i], n[j], percent)]
             if len(j):
                 j = j if every else j[[np.argmin(rank[j])]]
-                yield np.repeat(sid[i:i + 1], len(j), axis=0), sid[j]
+                yield np.full(len(j), order[i]), order[j]
+
+    def result(rows, sid, left, right):
+        left, right = np.concatenate(left), np.concatenate(right)
+        if every:
+            return _pair_batch(sid[left], sid[right])
+        own, partner = rows.take(pa.array(left)), rows.column("sid").take(pa.array(right))
+        return pa.RecordBatch.from_arrays([*(own.column(c) for c in ("gram", "sid", "n", "pos")), partner], ["gram", "sid", "n", "pos", "partner"])
 
     def run(batches):
         for rows, cut in _groups(batches):
@@ -255,14 +263,14 @@ def _pairs_apart(percent: int, every: bool):
             left, right, size = [], [], 0
             for a, b in zip(cut[:-1][several].tolist(), cut[1:][several].tolist(), strict=True):
                 for x, y in group(sid[a:b], label[a:b], n[a:b], pos[a:b], bits[a:b]):
-                    left.append(x)
-                    right.append(y)
+                    left.append(a + x)
+                    right.append(a + y)
                     size += len(x)
                     if size >= 100_000:
-                        yield _pair_batch(left, right)
+                        yield result(rows, sid, left, right)
                         left, right, size = [], [], 0
             if size:
-                yield _pair_batch(left, right)
+                yield result(rows, sid, left, right)
 
     return run
 
@@ -283,9 +291,9 @@ def _with_end(batches):
     yield None
 
 
-def _pair_batch(left: list, right: list) -> pa.RecordBatch:
+def _pair_batch(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
     x, y = (pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(v), [None, pa.py_buffer(np.ascontiguousarray(v))]).cast(pa.binary())
-            for v in (np.concatenate(left), np.concatenate(right)))
+            for v in (left, right))
     return pa.RecordBatch.from_arrays([x, y], ["a", "b"])
 
 
@@ -388,24 +396,27 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     apart = materialise(by_gram(labelled(members, label)).mapInArrow(_open, "gram long, sid binary, n int, pos int"), "apart")
     label = labelled(apart.select("sid").distinct(), label)
 
-    def untried(every: bool) -> DataFrame:
-        rows = apart.join(label, "sid").join(maps.select("sid", "bits"), "sid")
-        pairs = by_gram(rows).mapInArrow(_pairs_apart(percent, every), "a binary, b binary")
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(
-            tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    def found(rows: DataFrame, label: DataFrame, every: bool) -> DataFrame:
+        mapped = rows.join(label, "sid").join(maps.select("sid", "bits"), "sid")
+        columns = "a binary, b binary" if every else "gram long, sid binary, n int, pos int, partner binary"
+        return by_gram(mapped).mapInArrow(_pairs_apart(percent, every), columns)
+
+    def untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+        both = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+        return materialise(pairs.select(*both).distinct().join(tried.select(*both), ["a", "b"], "left_anti"), "pairs")
 
     while not all_links:
-        pairs = materialise(untried(False), "pairs")
+        apart = materialise(found(apart, label, False), "apart")
+        pairs = untried(apart.select(F.col("sid").alias("a"), F.col("partner").alias("b")), tried)
         more = verified(pairs)
+        tried = tried.union(pairs)
         if more.isEmpty():
             break
-        tried, links = tried.union(pairs), links.union(more)
+        links = links.union(more)
         ends = more.join(label.withColumnsRenamed({"sid": "a", "label": "at_a"}), "a").join(label.withColumnsRenamed({"sid": "b", "label": "at_b"}), "b")
         merged = components(ends.select(F.col("at_a").alias("a"), F.col("at_b").alias("b"))).select(F.col("node").alias("label"), "root")
         label = materialise(label.join(merged, "label", "left").select("sid", F.coalesce("root", "label").alias("label")), "labels")
-    if not all_links:
-        tried = tried.union(pairs)
-    rest = verified(untried(True))
+    rest = verified(untried(found(apart, label, True), tried))
     roots = components(links.union(rest))
     member = nodes.select("sid", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     firsts = materialise(member.join(member.groupBy("root").agg(F.min("at").alias("first")), "root").select("sid", "first"), "firsts")
