@@ -43,35 +43,34 @@ class Grams:
         self.powers = np.ones(1, np.uint64)
 
     def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of each word (A-Z lower-cased) and the text it is in."""
+        """A hash of each word (A-Z lower-cased), and the bounds of each text's words."""
         space = _SPACE[data]
-        before = np.concatenate([[True], space[:-1]]) if len(space) else space
-        begins = offsets[:-1][np.diff(offsets) > 0]
-        before[begins] = True
-        start = np.flatnonzero(~space & before)
-        if not len(start):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        cut = np.union1d(start, begins)  # a word ends where the next text begins
+        if space.all():
+            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        first = ~space
+        first[1:] &= space[:-1]
+        first[offsets[:-1][np.diff(offsets) > 0]] = True  # a word ends where the next text begins
+        cut = np.flatnonzero(first)
+        word = ~space[cut]
         place = np.arange(len(data)) - np.repeat(cut, np.diff(np.append(cut, len(data))))  # the first text begins at 0
         need = int(place.max()) + 1
         if need > len(self.powers):
             self.powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(2 * need, _ODD)]))
         values = self.codes[LOWER_BYTES[data]] * self.powers[place]
         values[space] = 0
-        sums = np.add.reduceat(values, cut)[np.searchsorted(cut, start)]
-        return mix(sums), np.searchsorted(offsets, start, side="right") - 1
+        return mix(np.add.reduceat(values, cut)[word]), np.searchsorted(cut[word], offsets)
 
     def sets(self, data: np.ndarray, offsets: np.ndarray):
         """The sorted distinct n-gram hashes of each text; a shorter text's whole sequence is its only one."""
         for a, b in slices(offsets, 1 << 21):
-            words, owner = self.words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-            bounds = np.searchsorted(owner, np.arange(b - a + 1))
+            words, bounds = self.words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             grams = words
             for k in range(1, self.width):
                 grams = mix(grams[:-1] * _ODD + words[k:]) if len(grams) > 1 else grams[:0]
             for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if y - x >= self.width:
-                    yield np.unique(grams[x:y - self.width + 1])
+                    own = np.sort(grams[x:y - self.width + 1])
+                    yield own[np.concatenate([[True], own[1:] != own[:-1]])]
                 elif y > x:
                     short = np.uint64(y - x)
                     for w in words[x:y]:
