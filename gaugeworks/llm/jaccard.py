@@ -6,10 +6,10 @@
 2. A node's prefix is its rarest n - ceil(t * n) + 1 n-grams. Similar sets share one of them. Rows of
    (n-gram, node) meet by n-gram; n-grams of one node fall away.
 3. The first round tries each node against one centre per n-gram, the node with the smallest id. That makes
-   large groups of near copies stars, with as many pairs as members. Each further round tries a node
-   of an n-gram against one node of another component that no filter keeps apart from it, and joins components,
-   until a round finds no link. The last round tries all pairs of an n-gram's nodes that are still in
-   different components, so no link between components is lost.
+   large groups of near copies stars, with as many pairs as members. Each further round tries a node of an
+   n-gram against nodes of other components that no filter keeps apart from it, and joins components: one such
+   partner first, then four times as many a round. A node whose partners are all tried leaves its n-gram. The rounds
+   end when no n-gram has nodes left, so no link between components is lost.
 4. A pair passes the length and positional filters and a bound from the bitmaps: sets differ in at least as many
    n-grams as their bitmaps differ in bits. It is then verified once, on its full sets, after a suffix filter.
    Links form components.
@@ -224,11 +224,12 @@ def _open(batches):
         yield rows.filter(pa.array(np.repeat(_several(rows, cut), np.diff(cut)))).select(["gram", "sid", "n", "pos"])
 
 
-def _pairs_apart(percent: int, every: bool):
+def _pairs_apart(percent: int, most: int | None):
     """Rows sorted by (gram, label), with bitmaps: pairs of different labels that pass the filters.
 
-    Either ``every`` pair, or each row that has a partner, with the one of the smallest id. The filters are
-    symmetric and labels only merge, so a row without a partner is of no use to later rounds.
+    Each row comes with its ``most`` partners of the smallest ids; with None every pair comes once. ``more`` marks one
+    pair of a row that has further partners. The filters are symmetric and labels only merge, so other rows are of no
+    use to later rounds: all their pairs are out.
     """
     def group(sid, label, n, pos, bits):
         order = np.argsort(n, kind="stable")
@@ -236,40 +237,40 @@ def _pairs_apart(percent: int, every: bool):
         by_id = np.lexsort((sid[:, 1], sid[:, 0]))
         rank = np.empty(len(n), np.int64)
         rank[by_id] = np.arange(len(n))
-        begin = np.arange(1, len(n) + 1) if every else np.searchsorted(n, -(-percent * n // 100))
+        begin = np.searchsorted(n, -(-percent * n // 100)) if most else np.arange(1, len(n) + 1)
         end = np.searchsorted(n, 100 * n // percent, side="right")
         for i in range(len(n)):
             j = np.arange(begin[i], max(begin[i], end[i]))
-            most = np.minimum(n[i] - pos[i], n[j] - pos[j])
-            j = j[((label[j] != label[i]).any(axis=1)) & ((100 + percent) * most >= percent * (n[i] + n[j]))]
+            overlap = np.minimum(n[i] - pos[i], n[j] - pos[j])
+            j = j[((label[j] != label[i]).any(axis=1)) & ((100 + percent) * overlap >= percent * (n[i] + n[j]))]
             j = j[_close(bits[i], bits[j], n[i], n[j], percent)]
             if len(j):
-                j = j if every else j[[np.argmin(rank[j])]]
-                yield np.full(len(j), order[i]), order[j]
+                more = np.zeros(len(j), bool)
+                if most and len(j) > most:
+                    j, more = j[np.argpartition(rank[j], most)[:most]], more[:most]
+                    more[0] = True
+                yield np.full(len(j), order[i]), order[j], more
 
-    def result(rows, sid, left, right):
-        left, right = np.concatenate(left), np.concatenate(right)
-        if every:
-            return _pair_batch(sid[left], sid[right])
-        own, partner = rows.take(pa.array(left)), rows.column("sid").take(pa.array(right))
-        return pa.RecordBatch.from_arrays([*(own.column(c) for c in ("gram", "sid", "n", "pos")), partner], ["gram", "sid", "n", "pos", "partner"])
+    def result(rows, left, right, more):
+        own, partner = rows.take(pa.array(np.concatenate(left))), rows.column("sid").take(pa.array(np.concatenate(right)))
+        return pa.RecordBatch.from_arrays([*(own.column(c) for c in ("gram", "sid", "n", "pos")), partner, pa.array(np.concatenate(more))],
+                                          ["gram", "sid", "n", "pos", "partner", "more"])
 
     def run(batches):
         for rows, cut in _groups(batches):
             several = _several(rows, cut)
             sid, label, bits = _ids(rows.column("sid")), _ids(rows.column("label")), _bits(rows.column("bits"))
             n, pos = rows.column("n").to_numpy().astype(np.int64), rows.column("pos").to_numpy().astype(np.int64)
-            left, right, size = [], [], 0
+            found, size = [], 0
             for a, b in zip(cut[:-1][several].tolist(), cut[1:][several].tolist(), strict=True):
-                for x, y in group(sid[a:b], label[a:b], n[a:b], pos[a:b], bits[a:b]):
-                    left.append(a + x)
-                    right.append(a + y)
+                for x, y, more in group(sid[a:b], label[a:b], n[a:b], pos[a:b], bits[a:b]):
+                    found.append((a + x, a + y, more))
                     size += len(x)
                     if size >= 100_000:
-                        yield result(rows, sid, left, right)
-                        left, right, size = [], [], 0
+                        yield result(rows, *zip(*found, strict=True))
+                        found, size = [], 0
             if size:
-                yield result(rows, sid, left, right)
+                yield result(rows, *zip(*found, strict=True))
 
     return run
 
@@ -290,12 +291,6 @@ def _with_end(batches):
     yield None
 
 
-def _pair_batch(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-    x, y = (pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(v), [None, pa.py_buffer(np.ascontiguousarray(v))]).cast(pa.binary())
-            for v in (left, right))
-    return pa.RecordBatch.from_arrays([x, y], ["a", "b"])
-
-
 def _compressed(batches):
     pack = zstandard.ZstdCompressor()
     for batch in batches:
@@ -380,7 +375,7 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     starred = near.select(F.col("sid").alias("a"), F.col("c_sid").alias("b")).distinct()
     both = (starred.join(maps.select(F.col("sid").alias("a"), F.col("n").alias("n_x"), F.col("bits").alias("x")), "a")
             .join(maps.select(F.col("sid").alias("b"), F.col("n").alias("n_y"), F.col("bits").alias("y")), "b"))
-    # Without stars every set is a component of its own, and the last round takes all pairs.
+    # Without stars every set is a component of its own, and one round takes all pairs.
     tried = materialise((both.limit(0) if all_links else both).mapInArrow(_possible(percent), "a binary, b binary"), "pairs")
     links = stars = verified(tried)
 
@@ -395,35 +390,36 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     apart = materialise(by_gram(labelled(members, label)).mapInArrow(_open, "gram long, sid binary, n int, pos int"), "apart")
     label = labelled(apart.select("sid").distinct(), label)
 
-    def found(rows: DataFrame, label: DataFrame, every: bool) -> DataFrame:
-        mapped = rows.join(label, "sid").join(maps.select("sid", "bits"), "sid")
-        columns = "a binary, b binary" if every else "gram long, sid binary, n int, pos int, partner binary"
-        return by_gram(mapped).mapInArrow(_pairs_apart(percent, every), columns)
+    def found(rows: DataFrame, label: DataFrame, most: int | None) -> DataFrame:
+        mapped = by_gram(rows.join(label, "sid").join(maps.select("sid", "bits"), "sid"))
+        return materialise(mapped.mapInArrow(_pairs_apart(percent, most), "gram long, sid binary, n int, pos int, partner binary, more boolean"), "apart")
 
     def untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
-        both = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-        return materialise(pairs.select(*both).distinct().join(tried.select(*both), ["a", "b"], "left_anti"), "pairs")
-
-    while not all_links:
-        apart = materialise(found(apart, label, False), "apart")
-        pairs = untried(apart.select(F.col("sid").alias("a"), F.col("partner").alias("b")), tried)
-        more = verified(pairs)
-        tried = tried.union(pairs)
-        if more.isEmpty():
+        ends = [F.col("sid"), F.col("partner")]
+        both = pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+        return materialise(both.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+
+    partners = None if all_links else 1
+    while True:
+        pairs = found(apart, label, partners)
+        new = untried(pairs, tried)
+        good = verified(new)
+        links = links.union(good)
+        apart = pairs.where("more").select("gram", "sid", "n", "pos")
+        if all_links or apart.isEmpty():
             break
-        links = links.union(more)
-        ends = more.join(label.withColumnsRenamed({"sid": "a", "label": "at_a"}), "a").join(label.withColumnsRenamed({"sid": "b", "label": "at_b"}), "b")
+        tried, partners = tried.union(new), 4 * partners
+        ends = good.join(label.withColumnsRenamed({"sid": "a", "label": "at_a"}), "a").join(label.withColumnsRenamed({"sid": "b", "label": "at_b"}), "b")
         merged = components(ends.select(F.col("at_a").alias("a"), F.col("at_b").alias("b"))).select(F.col("node").alias("label"), "root")
         label = materialise(label.join(merged, "label", "left").select("sid", F.coalesce("root", "label").alias("label")), "labels")
-    rest = verified(untried(found(apart, label, True), tried))
-    roots = components(links.union(rest))
+    roots = components(links)
     member = nodes.select("sid", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     firsts = materialise(member.join(member.groupBy("root").agg(F.min("at").alias("first")), "root").select("sid", "first"), "firsts")
     result = lines.join(firsts, "sid", "left")
     more = []
     if all_links:
         weight = lines.where("n > 0").groupBy("sid").agg(F.count(F.lit(1)).alias("rows"))
-        both = rest.union(rest.select("b", "a")).select(F.col("a").alias("of"), F.col("b").alias("sid"))
+        both = links.union(links.select("b", "a")).select(F.col("a").alias("of"), F.col("b").alias("sid"))
         others = both.join(weight, "sid").groupBy(F.col("of").alias("sid")).agg(F.sum("rows").alias("others"))
         result = result.join(weight, "sid", "left").join(others, "sid", "left")
         more = [F.when(F.col("n") > 0, F.col("rows") - 1 + F.coalesce("others", F.lit(0))).otherwise(0).alias("links")]
