@@ -21,9 +21,9 @@ def shingles(text, width=4):
     return {tuple(w)} if len(w) < width else {tuple(w[i:i + width]) for i in range(len(w) - width + 1)}
 
 
-def brute(rows, percent=85):
+def brute(rows, percent=85, width=4):
     """component_id per row by all pairs."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, width) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(i):
