@@ -58,3 +58,15 @@ def test_scans_read_only_needed_columns(spark, make, needed):
     plan = make(spark, SF)._jdf.queryExecution().executedPlan().toString()
     big = max(re.findall(r"ReadSchema: struct<([^>]*)>", plan), key=len)
     assert {c.split(":")[0] for c in big.split(",")} <= needed
+
+
+def test_profile_state_is_keyed_without_the_parsed_time(spark):
+    """Id, time text and period tell rows of a state apart; what follows from them is not shuffled."""
+    rows = [(2023, "S1", "2023-01-01 00:00:00", "1"), (2023, "S1", "2023-01-01 00:00:00", None), (2023, None, "no time", "2"),
+            (2023, " ", None, "x"), (2023, "S1", "no time", "3")]
+    raw = spark.createDataFrame(rows, "year int, station_id string, timestamp string, reading_value string")
+    table = profile.profile(raw, b.DAY, "year", ["station_id", "timestamp", "reading_value"])
+    keys = re.findall(r"hashpartitioning\(([^)]*timestamp#[^)]*)\)", executed(table))
+    assert keys and not any("observation_time" in k for k in keys)
+    got = table.first()
+    assert (got.total_rows, got.invalid_timestamps, got.missing_station_id, got.missing_timestamp, got.missing_reading_value) == (5, 2, 2, 1, 1)
