@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gaugeworks.functions.projection import SVY21, TransverseMercator, project
-from gaugeworks.functions.values import ratio
+from gaugeworks.functions.values import non_finite, ratio
 from gaugeworks.operators.ranking import distributed_rank, top_rows
 from gaugeworks.spec import SeriesSpec
 
@@ -168,43 +168,85 @@ def _boxes(rows: DataFrame) -> DataFrame:
     return boxes.withColumn("_up", F.call_function("div", F.col("_node"), F.col("_fan")))
 
 
-def _within_reach(found: DataFrame, k: int, target_id: str) -> DataFrame:
-    """Boxes that can still hold one of a target's ``k`` nearest points.
+def _near(box: Column) -> Column:
+    """No point of the box is nearer to (x, y): the greater of the gaps along both axes."""
+    return F.greatest(box["x0"] - F.col("x"), F.col("x") - box["x1"], box["y0"] - F.col("y"), F.col("y") - box["y1"], F.lit(0.0))
 
-    A box is dropped once ``k`` points of other boxes are known to lie closer than its nearest corner.
+
+def _far(box: Column) -> Column:
+    """No point of the box is farther from (x, y): the distance of its farthest corner."""
+    return F.hypot(F.greatest(F.col("x") - box["x0"], box["x1"] - F.col("x")), F.greatest(F.col("y") - box["y0"], box["y1"] - F.col("y")))
+
+
+def _arrays(rows: DataFrame, k: int, *by: str) -> DataFrame:
+    """The boxes of ``rows``, as an array per run they belong to, and how many of them hold ``k`` points for sure.
+
+    All boxes of a step are of one size but for the last one, so the sizes of the smallest and the largest settle it.
     """
-    x, y, zero = F.col("x"), F.col("y"), F.lit(0.0)
-    gap_x, gap_y = F.greatest(F.col("x0") - x, x - F.col("x1"), zero), F.greatest(F.col("y0") - y, y - F.col("y1"), zero)
-    far_x = F.greatest(F.abs(x - F.col("x0")), F.abs(x - F.col("x1")))
-    far_y = F.greatest(F.abs(y - F.col("y0")), F.abs(y - F.col("y1")))
-    w = Window.partitionBy(target_id)
-    nested = w.orderBy("_far", "_node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reach = F.min(F.when(F.col("_sure") >= k, F.col("_far"))).over(w)
-    return (found.withColumns({"_near": F.sqrt(gap_x * gap_x + gap_y * gap_y), "_far": F.sqrt(far_x * far_x + far_y * far_y)})
-            .withColumn("_sure", F.sum("n").over(nested)).withColumn("_reach", reach)
-            .where(F.col("_reach").isNull() | (F.col("_near") * (1 - ROUNDING) <= F.col("_reach") * (1 + ROUNDING)))
-            .select(target_id, "x", "y", "_node"))
-
-
-def neighbour_pairs(targets: DataFrame, index: DataFrame, k: int, target_id: str = "target_id") -> DataFrame:
+    enough = F.greatest(F.lit(1), F.ceil((k - F.min("n")) / F.max("n")) + 1)
+    boxes = F.collect_list(F.struct("_node", "x0", "x1", "y0", "y1"))
+    return rows.groupBy(*by).agg(F.struct(boxes.alias("all"), F.when(F.sum("n") >= k, enough).cast("int").alias("enough")).alias("_boxes"))
+
+
+def _closest() -> tuple[Column, Column]:
+    """A distance within which the boxes at hand hold ``k`` points, null if they hold fewer, and the node of the closest."""
+    boxes, enough = F.col("_boxes.all"), F.col("_boxes.enough")
+    least = F.array_min(F.transform(boxes, lambda b: F.struct(_far(b).alias("far"), b["_node"].alias("_node"))))
+    several = F.get(F.sort_array(F.transform(boxes, _far)), enough - 1)
+    return F.when(enough == 1, least["far"]).otherwise(several), least["_node"]
+
+
+def _reached(distance: Column) -> Column:
+    return F.col("_reach").isNull() | (distance * (1 - ROUNDING) <= F.col("_reach") * (1 + ROUNDING))
+
+
+def neighbour_pairs(targets: DataFrame, index: DataFrame, k: int, target_id: str = "target_id", point_id: str = "point_id") -> DataFrame:
     """Pairs of targets and points of ``index``, with ``distance``, that hold the ``k`` nearest points of every target.
 
-    A target takes all nodes of the first step, as many as the fan-out, drops those out of reach, meets the children of
-    the others by equal node numbers, and so on down to the points.
+    A target first goes down the tree by the closest box of each step, which tells how far its ``k`` nearest points can
+    lie, and then meets the boxes within that reach. A node's boxes or points are one array that a target is held against
+    within its row, so a row is a target and a box in reach, and a last box gives its ``k`` nearest points only.
+    Targets without finite coordinates are as far from one point as from another: they meet the first ``k`` ids.
     """
+    own = [c for c in index.columns if c not in ("_up", "_fan")]
     spots = index.select("_up", "_fan", F.col("px").alias("x0"), F.col("px").alias("x1"), F.col("py").alias("y0"), F.col("py").alias("y1"), F.lit(1).cast("long").alias("n"))
     nodes = [_boxes(spots)]
     for _ in range(STEPS - 2):
         nodes.append(_boxes(nodes[-1]))
-    first = nodes.pop().agg(F.collect_list(F.struct("_node", "x0", "x1", "y0", "y1", "n"))).scalar()
-    found = targets.select(target_id, "x", "y").repartition(target_id).select(target_id, "x", "y", F.inline(first))
-    found = _within_reach(found, k, target_id)
-    while nodes:
-        found = found.withColumnRenamed("_node", "_up").join(nodes.pop().drop("_fan"), "_up").drop("_up")
-        found = _within_reach(found, k, target_id)
-    dx, dy = F.col("x") - F.col("px"), F.col("y") - F.col("py")
-    return (found.withColumnRenamed("_node", "_up").join(index.drop("_fan"), "_up").drop("_up")
-            .withColumn("distance", F.sqrt(dx * dx + dy * dy)))
+    first = _arrays(nodes.pop(), k).scalar()
+    below = [_arrays(rows, k, "_up") for rows in reversed(nodes)]
+    last = index.groupBy("_up").agg(F.collect_list(F.struct(*own)).alias("_points"))
+    # Infinite points are told apart, as they may be at no distance from infinite targets.
+    ends = {f"_{c}": F.when(non_finite(c), F.col(c)) for c in ("px", "py")}
+    any_points = top_rows(index.withColumns(ends), k, [F.col(point_id)], list(ends)).agg(F.collect_list(F.struct(*own))).scalar()
+    lost = F.coalesce(non_finite("x") | non_finite("y"), F.lit(True))
+    key = [target_id, "x", "y"]
+
+    # Down by the closest boxes. A scalar cannot stand inside a lambda, so it becomes a column first.
+    reach, node = _closest()
+    found = (targets.select(*key).repartition(target_id).select(*key, first.alias("_boxes"))
+             .select(*key, F.when(~lost, reach).alias("_reach"), F.when(~lost, node).alias("_up")))
+    for boxes in below:
+        found = found.join(boxes, "_up", "left").select(*key, F.least("_reach", reach).alias("_reach"), node.alias("_up"))
+    own_distances = F.transform("_points", lambda p: F.hypot(F.col("x") - p["px"], F.col("y") - p["py"]))
+    found = found.join(last, "_up", "left").select(*key, F.least("_reach", F.get(F.sort_array(own_distances), k - 1)).alias("_reach"))
+
+    # Down again by all boxes within reach.
+    inside = F.transform(F.filter("_boxes.all", lambda b: _reached(_near(b))), lambda b: b["_node"])
+    met = F.explode_outer(F.when(~lost, inside)).alias("_up")
+    found = found.select(*key, "_reach", first.alias("_boxes")).select(*key, "_reach", met)
+    for boxes in below:
+        found = found.join(boxes, "_up", "left").select(*key, "_reach", met)
+    found = found.join(last, "_up", "left").select(*key, "_reach", F.when(lost, any_points).otherwise(F.col("_points")).alias("_points"))
+
+    def distance(p: Column) -> Column:
+        dx, dy = F.col("x") - p["px"], F.col("y") - p["py"]
+        return F.sqrt(dx * dx + dy * dy)
+
+    measured = F.transform("_points", lambda p, i: F.struct(distance(p).alias("distance"), p[point_id].alias("id"), i.alias("i")))
+    best = F.slice(F.sort_array(F.filter(measured, lambda p: _reached(p["distance"]))), 1, k)
+    pairs = F.transform(best, lambda p: F.struct(F.get("_points", p["i"]).alias("_point"), p["distance"].alias("distance")))
+    return found.select(*key, F.inline(pairs)).select(*key, *[F.col("_point")[c].alias(c) for c in own], "distance")
 
 
 def nearest(targets: DataFrame, points: DataFrame, k: int, target_id: str = "target_id",
@@ -216,7 +258,7 @@ def nearest(targets: DataFrame, points: DataFrame, k: int, target_id: str = "tar
     """
     if index is None:
         index = point_index(points, k, point_id)
-    pairs = neighbour_pairs(targets, index, k, target_id)
+    pairs = neighbour_pairs(targets, index, k, target_id, point_id)
     return top_rows(pairs, k, [F.col("distance"), F.col(point_id)], [target_id])
 
 

@@ -196,6 +196,29 @@ def test_neighbours_in_a_very_crowded_spot(spark):
     assert len(sizes) == len(targets) and max(sizes) <= 1500 and np.mean(sizes) <= 500
 
 
+def test_pairs_are_few_and_unplaced_targets_meet_the_first_ids(spark):
+    """A box within reach gives its nearest points only; a target without a place is as far from one point as from another."""
+    rng = np.random.default_rng(10)
+    points = [(i, float(x), float(y), 0.0) for i, (x, y) in enumerate(rng.random((4000, 2)) * 1000)]
+    targets = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.random((100, 2)) * 1000)]
+    nan, inf = float("nan"), float("inf")
+    odd = [(-1, None, None), (-2, None, 5.0), (-3, nan, 5.0), (-4, 5.0, -inf), (None, 500.0, 500.0), (None, 0.0, 0.0)]
+    schema = "point_id int, x double, y double, value double"
+    t = spark.createDataFrame(targets + odd, "target_id int, x double, y double")
+    pairs = spatial.neighbour_pairs(t, spatial.point_index(spark.createDataFrame(points, schema), 8), 8)
+    sizes = [r["count"] for r in pairs.where("target_id >= 0").groupBy("target_id").count().collect()]
+    assert len(sizes) == len(targets) and np.mean(sizes) <= 80
+    got = {}
+    for r in spatial.nearest(t, spark.createDataFrame(points + [(-9, inf, 3.0, 0.0)], schema).repartition(4), 8).orderBy("target_id", "distance", "point_id").collect():
+        got.setdefault(r.target_id, []).append((r.point_id, r.distance))
+    assert {i: [n for n, _ in got[i]] for i, _, _ in targets} == plain_nearest(targets, points, 8)
+    assert got[-1] == got[-2] == [(-9, None), *((i, None) for i in range(7))]
+    assert [n for n, _ in got[-3]] == [-9, *range(7)] and all(math.isnan(d) for _, d in got[-3])
+    assert [n for n, _ in got[-4]] == [-9, *range(7)] and all(d == inf for _, d in got[-4])
+    both = [(math.sqrt((x - a) ** 2 + (x - b) ** 2), i) for i, a, b, _ in points for x in (500.0, 0.0)]
+    assert [n for n, _ in got[None]] == [i for _, i in sorted(both)[:8]]
+
+
 def test_nearest_without_points(spark):
     t = spark.createDataFrame([(1, 0.0, 0.0)], "target_id int, x double, y double")
     assert spatial.nearest(t, t.limit(0).withColumnRenamed("target_id", "point_id"), 3).collect() == []
