@@ -7,21 +7,23 @@ from pyspark.sql import DataFrame, functions as F
 from gaugeworks.sources.scratch import materialise
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node of ``edges`` (u, v) either hangs on one node or is one that others hang on."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    once = ends.groupBy("node").agg((F.sum("up") + F.max("down") < 2).alias("once"))
+    return once.agg(F.count_if(~F.col("once"))).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b); root is the smallest node of its component.
 
     Each round hangs every node's larger neighbours, then its smaller ones, on its smallest neighbour, as
     aggregates and equi-joins, until the edges are stars. Every round's edges are written to the shared
-    folder; the driver sees two numbers a round. Links from a node to itself give the node alone.
+    folder; the driver sees one number a round. Links from a node to itself give the node alone.
     """
     nodes = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
     edges = materialise(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    last = None
-    while True:
-        mark = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
-        if mark == last or mark["n"] == 0:
-            break
-        last = mark
+    while not _stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()

@@ -4,7 +4,8 @@
    sketch of document counts of fixed size, over all documents, which orders n-grams from rare to frequent,
    and a parity bitmap of the set. Equal sets are one node from here on.
 2. A node's prefix is its rarest n - ceil(t * n) + 1 n-grams. Similar sets share one of them. Rows of
-   (n-gram, node) meet by n-gram; n-grams of one node fall away.
+   (n-gram, node) meet by n-gram; rows that no other node of their n-gram passes the length and positional filters
+   with fall away.
 3. The first round tries each node against one centre per n-gram, the node with the smallest id. That makes
    large groups of near copies stars, with as many pairs as members. Each further round tries a node of an
    n-gram against nodes of other components that no filter keeps apart from it, and joins components: one such
@@ -29,6 +30,8 @@ from gaugeworks.llm.components import components
 from gaugeworks.sources.scratch import materialise
 
 CELLS, RANGE = 1 << 22, 1 << 12
+ALL_PAIRS, HELD = 16, 20_000  # rows of an n-gram that are compared pair by pair, and that are held at once
+MARKS, PART = 1 << 24, 1 << 15  # bits that mark rows whose texts travel, in parts
 BITS = 10  # a bitmap has 2 ** BITS bits
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -166,6 +169,64 @@ def _ids(column: pa.Array) -> np.ndarray:
     return utf8(column)[0].view(np.uint64).reshape(-1, 2)
 
 
+def _with_partner(gram: np.ndarray, sid: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Rows of whole grams, sorted by (gram, sid): places of those, each once, that pass the length and positional filters with another set."""
+    new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
+    once = np.flatnonzero(new_gram | np.concatenate([[True], (sid[1:] != sid[:-1]).any(axis=1)]))
+    n, pos = n[once], pos[once]
+    cut = np.append(np.flatnonzero(new_gram[once]), len(once))
+    sizes, keep = np.diff(cut), np.zeros(len(once), bool)
+    for k in np.unique(sizes[(sizes > 1) & (sizes <= ALL_PAIRS)]):
+        at = cut[:-1][sizes == k][:, None] + np.arange(k)
+        a, b, left = n[at][:, :, None], n[at][:, None, :], (n - pos)[at]
+        good = (100 + percent) * np.minimum(left[:, :, None], left[:, None, :]) >= percent * (a + b)
+        good &= 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+        good[:, np.arange(k), np.arange(k)] = False
+        keep[at] = good.any(axis=2)
+    for i in np.flatnonzero(sizes > ALL_PAIRS):  # only by the sizes that the row itself lets pass
+        own, left = n[cut[i]:cut[i + 1]], (n - pos)[cut[i]:cut[i + 1]]
+        low, high, ordered = -(-percent * own // 100), np.minimum(100 * own, (100 + percent) * left - percent * own) // percent, np.sort(own)
+        others = np.searchsorted(ordered, high, side="right") - np.searchsorted(ordered, low) - (own <= high)
+        keep[cut[i]:cut[i + 1]] = others > 0
+    return once[keep]
+
+
+def _partnered(batches, percent: int):
+    """Rows sorted by (gram, sid) without those that have no partner in their gram. Grams of more than HELD rows pass as they are, in a stream."""
+    rest, wide = None, None
+    for batch in _with_end(batches):
+        parts = [x for x in (rest, batch) if x is not None and x.num_rows]
+        if not parts:
+            continue
+        rows, rest = pa.concat_batches(parts), None
+        gram = rows.column("gram").to_numpy()
+        if wide is not None:
+            more = int(np.searchsorted(gram, wide, side="right"))
+            if more:
+                yield rows.slice(0, more)
+            rows, gram = rows.slice(more), gram[more:]
+            if not len(gram):
+                continue
+            wide = None
+        if batch is not None:
+            last = int(np.searchsorted(gram, gram[-1]))
+            rest, rows, gram = rows.slice(last), rows.slice(0, last), gram[:last]
+        if len(gram):
+            n, pos = (rows.column(c).to_numpy().astype(np.int64) for c in ("n", "pos"))
+            yield rows.take(pa.array(_with_partner(gram, _ids(rows.column("sid")), n, pos, percent)))
+        if rest is not None and rest.num_rows > HELD:
+            wide = rest.column("gram")[0].as_py()
+            yield rest
+            rest = None
+
+
+def _centres(percent: int):
+    def run(batches):
+        return _to_centres(_partnered(batches, percent))
+
+    return run
+
+
 def _to_centres(batches):
     """Rows sorted by (gram, sid) to (row, first row of its gram), in a stream; equal rows count once."""
     gram, sid, centre = None, None, None  # of the last row; centre: its sid, n and pos
@@ -291,11 +352,17 @@ def _with_end(batches):
     yield None
 
 
-def _compressed(batches):
-    pack = zstandard.ZstdCompressor()
-    for batch in batches:
-        texts = pa.array([pack.compress(t.as_buffer()) for t in batch.column("text")], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row_key"), texts], ["id", "row_key", "packed"])
+def _compressed(shared):
+    """The marked rows with their texts compressed."""
+    def run(batches):
+        pack, marks = zstandard.ZstdCompressor(), shared.value
+        for batch in batches:
+            mark = batch.column("mark").to_numpy()
+            batch = batch.filter(pa.array((marks[mark >> 3] >> (mark & 7).astype(np.uint8)) & 1 == 1))
+            texts = pa.array([pack.compress(t.as_buffer()) for t in batch.column("text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row_key"), texts], ["id", "row_key", "packed"])
+
+    return run
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -344,10 +411,11 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", text_key(F.col("text")))
     scan = materialise(rows.mapInArrow(_scan(width), "doc_id long, row_key long, n long, sid binary, bits binary, range int, counts binary"), "scan")
-    counts = np.zeros(CELLS, np.int64)  # in all, and broadcast
+    top = np.iinfo(np.int32).max
+    counts = np.zeros(CELLS, np.int32)  # in all, and broadcast
     sketch = scan.where("range is not null").select("range", "counts").repartition("range").mapInArrow(_add_up, "range int, counts binary")
     for r in sketch.collect():
-        counts[r["range"] * RANGE:(r["range"] + 1) * RANGE] = np.frombuffer(zlib.decompress(r["counts"]), "<i8")
+        counts[r["range"] * RANGE:(r["range"] + 1) * RANGE] = np.minimum(np.frombuffer(zlib.decompress(r["counts"]), "<i8"), top)
     shared = docs.sparkSession.sparkContext.broadcast(counts)
     lines = scan.where("range is null").select("doc_id", "row_key", "n", "sid")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
@@ -355,16 +423,30 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
 
     prefixes = rows.select("text").mapInArrow(_prefixes(width, percent, shared), "gram long, sid binary, n int, pos int")
     posts = materialise(prefixes.repartition("gram").sortWithinPartitions("gram", "sid").mapInArrow(
-        _to_centres, "gram long, sid binary, n int, pos int, c_sid binary, c_n int, c_pos int"), "posts")
+        _centres(percent), "gram long, sid binary, n int, pos int, c_sid binary, c_n int, c_pos int"), "posts")
+    shared.destroy()
+    del counts
     # Rows by id, where null counts as 0, and text: rows that this mixes up have one set. A compressed
     # text is a third of the hashes of its set, so texts travel to the verification.
     id_, key = F.coalesce("doc_id", F.lit(0)).alias("id"), ["id", "row_key"]
     wanted = materialise(posts.select("sid").union(posts.select("c_sid")).distinct().join(nodes, "sid").select("sid", "at.doc_id", "at.row_key"), "wanted")
     maps = materialise(scan.where("n > 0").select("sid", "n", "bits").dropDuplicates(["sid"]).join(wanted.select("sid"), "sid", "left_semi"), "maps")
-    packed = rows.select(id_, "row_key", "text").mapInArrow(_compressed, "id long, row_key long, packed binary")
-    texts = materialise(packed.join(wanted.select("sid", id_, "row_key").distinct(), key).dropDuplicates(key).select("sid", "packed"), "texts")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def fetched(sids: DataFrame) -> DataFrame:
+        """The compressed texts of some sets. A bit per hash of a row marks the rows that are wanted, so that few others are shuffled."""
+        own = materialise(wanted.join(sids, "sid", "left_semi").select("sid", id_, "row_key"), "own")
+        mark = F.pmod(F.xxhash64(*key), F.lit(MARKS)).cast("int").alias("mark")
+        marks = np.zeros(MARKS // 8, np.uint8)  # in all, and broadcast
+        parts = own.select(mark).groupBy(F.floor(F.col("mark") / PART).alias("part")).agg(F.bitmap_construct_agg(F.col("mark") % PART).alias("bits"))
+        for r in parts.collect():
+            marks[r["part"] * PART // 8:(r["part"] + 1) * PART // 8] = np.frombuffer(r["bits"], np.uint8)
+        marked = own.sparkSession.sparkContext.broadcast(marks)
+        packed = rows.select(id_, "row_key", "text").select(*key, mark, "text").mapInArrow(_compressed(marked), "id long, row_key long, packed binary")
+        texts = materialise(packed.join(own, key).dropDuplicates(key).select("sid", "packed"), "texts")
+        marked.destroy()
+        return texts
+
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         both = pairs.join(texts.select(F.col("sid").alias("b"), F.col("packed").alias("y")), "b").join(
             texts.select(F.col("sid").alias("a"), F.col("packed").alias("x")), "a")
         return materialise(both.select("a", "b", "x", "y").mapInArrow(_verify(width, percent), "a binary, b binary"), "links")
@@ -377,7 +459,7 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
             .join(maps.select(F.col("sid").alias("b"), F.col("n").alias("n_y"), F.col("bits").alias("y")), "b"))
     # Without stars every set is a component of its own, and one round takes all pairs.
     tried = materialise((both.limit(0) if all_links else both).mapInArrow(_possible(percent), "a binary, b binary"), "pairs")
-    links = stars = verified(tried)
+    links = stars = verified(tried, fetched(tried.select(F.col("a").alias("sid")).union(tried.select("b"))))
 
     def labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
         return rows.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
@@ -388,10 +470,10 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     label = components(stars).select(F.col("node").alias("sid"), F.col("root").alias("label"))
     members = posts.select("gram", "sid", "n", "pos").union(posts.select("gram", "c_sid", "c_n", "c_pos").distinct())
     apart = materialise(by_gram(labelled(members, label)).mapInArrow(_open, "gram long, sid binary, n int, pos int"), "apart")
-    label = labelled(apart.select("sid").distinct(), label)
+    label = labelled(maps.select("sid", "bits").join(apart.select("sid").distinct(), "sid", "left_semi"), label)
 
     def found(rows: DataFrame, label: DataFrame, most: int | None) -> DataFrame:
-        mapped = by_gram(rows.join(label, "sid").join(maps.select("sid", "bits"), "sid"))
+        mapped = by_gram(rows.join(label, "sid"))
         return materialise(mapped.mapInArrow(_pairs_apart(percent, most), "gram long, sid binary, n int, pos int, partner binary, more boolean"), "apart")
 
     def untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
@@ -400,18 +482,27 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
         return materialise(both.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
 
     partners = None if all_links else 1
+    pairs = found(apart, label, partners)
+    # Sets without a partner now never get one, so what the rounds carry along is cut to the others once.
+    left = pairs.select("sid").union(pairs.select("partner")).distinct()
+    label, texts = materialise(label.join(left, "sid", "left_semi"), "labels"), None
     while True:
-        pairs = found(apart, label, partners)
         new = untried(pairs, tried)
-        good = verified(new)
-        links = links.union(good)
         apart = pairs.where("more").select("gram", "sid", "n", "pos")
-        if all_links or apart.isEmpty():
+        last = all_links or apart.isEmpty()
+        if not new.isEmpty():
+            texts = fetched(left) if texts is None else texts
+            good = verified(new, texts)
+            links, tried = links.union(good), tried.union(new)
+            if not last:
+                at = label.select("sid", "label")
+                ends = good.join(at.withColumnsRenamed({"sid": "a", "label": "at_a"}), "a").join(at.withColumnsRenamed({"sid": "b", "label": "at_b"}), "b")
+                merged = components(ends.select(F.col("at_a").alias("a"), F.col("at_b").alias("b"))).select(F.col("node").alias("label"), "root")
+                label = materialise(label.join(merged, "label", "left").select("sid", "bits", F.coalesce("root", "label").alias("label")), "labels")
+        if last:
             break
-        tried, partners = tried.union(new), 4 * partners
-        ends = good.join(label.withColumnsRenamed({"sid": "a", "label": "at_a"}), "a").join(label.withColumnsRenamed({"sid": "b", "label": "at_b"}), "b")
-        merged = components(ends.select(F.col("at_a").alias("a"), F.col("at_b").alias("b"))).select(F.col("node").alias("label"), "root")
-        label = materialise(label.join(merged, "label", "left").select("sid", F.coalesce("root", "label").alias("label")), "labels")
+        partners *= 4
+        pairs = found(apart, label, partners)
     roots = components(links)
     member = nodes.select("sid", "at").join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     firsts = materialise(member.join(member.groupBy("root").agg(F.min("at").alias("first")), "root").select("sid", "first"), "firsts")

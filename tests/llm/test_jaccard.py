@@ -110,3 +110,63 @@ def test_all_links(spark):
     found = jaccard.linked(spark.createDataFrame(rows, "doc_id long, text string"), all_links=True).collect()
     assert {r.doc_id: r.links for r in found} == {i: sum(bool(near(i, j)) for j in range(len(rows))) for i in range(len(rows))}
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows)
+
+
+def written(monkeypatch, module):
+    """The tables that ``module`` writes from now on, as (name, rows)."""
+    tables, real = [], module.materialise
+
+    def seen(df, name):
+        out = real(df, name)
+        tables.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(module, "materialise", seen)
+    return tables
+
+
+def test_rows_without_partner_fall_away(spark, monkeypatch):
+    """Texts that share a passage but are too unlike in size travel no further; texts travel to the rounds only where a partner is left."""
+    tables = written(monkeypatch, jaccard)
+    shared = " ".join(f"s{i}" for i in range(5))
+    unlike = [shared + " " + " ".join(f"u{n}x{i}" for i in range(n)) for n in (5, 20, 60, 180, 540)]
+    check(spark.createDataFrame(list(enumerate(unlike)), "doc_id long, text string"))
+    assert {n for name, n in tables if name in ("posts", "wanted", "texts")} == {0}
+    tables.clear()
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join([f"a{k}", *base, f"z{k}"]) for k in range(12)]
+    check(spark.createDataFrame(list(enumerate(unlike + near)), "doc_id long, text string"))
+    assert [n for name, n in tables if name == "texts"] == [12]  # the stars join all, no round needs texts
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 6), st.integers(1, 40), st.integers(0, 12)), max_size=40), st.integers(1, 5), st.integers(1, 12), st.integers(1, 9))
+def test_partners(rows, pairwise, held, size):
+    """What stays holds all rows with a partner, each set once a gram, and exactly those in grams compared pair by pair."""
+    sets = {}
+    rows = sorted((g, s, *sets.setdefault((g, s), (n, min(p, n - 1)))) for g, s, n, p in rows)
+    good = lambda a, b: a[:2] != b[:2] and 185 * min(a[2] - a[3], b[2] - b[3]) >= 85 * (a[2] + b[2]) and 100 * min(a[2], b[2]) >= 85 * max(a[2], b[2])
+    want = {a for a in rows if any(a[0] == b[0] and good(a, b) for b in rows)}
+    ids = lambda s: np.array([s, 7], np.uint64).tobytes()
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([ids(r[1]) for r in part], pa.binary()),
+                                           pa.array([r[2] for r in part], pa.int32()), pa.array([r[3] for r in part], pa.int32())], ["gram", "sid", "n", "pos"])
+               for part in (rows[k:k + size] for k in range(0, len(rows), size))]
+    back = lambda b: [(r["gram"], int(np.frombuffer(r["sid"], np.uint64)[0]), r["n"], r["pos"]) for r in b.to_pylist()]
+    before = jaccard.ALL_PAIRS, jaccard.HELD
+    try:
+        jaccard.ALL_PAIRS, jaccard.HELD = 16, 1000
+        exact = [r for b in jaccard._partnered(iter(batches), 85) for r in back(b)]
+        jaccard.ALL_PAIRS, jaccard.HELD = pairwise, held
+        kept = [r for b in jaccard._partnered(iter(batches), 85) for r in back(b)]
+    finally:
+        jaccard.ALL_PAIRS, jaccard.HELD = before
+    assert len(exact) == len(set(exact)) and want <= set(exact)
+    assert set(exact) == want or max(Counter(r[0] for r in set(rows)).values()) > 16
+    assert want <= set(kept) <= set(rows) and kept == sorted(kept)
+
+
+def test_stars_are_written_once(spark, monkeypatch):
+    tables = written(monkeypatch, components)
+    found = {r.node: r.root for r in components.components(spark.createDataFrame([(9, 1), (1, 8), (7, 2), (3, 3)], "a long, b long")).collect()}
+    assert found == {1: 1, 8: 1, 9: 1, 2: 2, 7: 2, 3: 3}
+    assert tables == [("edges", 3)]
