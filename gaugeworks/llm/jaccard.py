@@ -407,7 +407,7 @@ def linked(docs: DataFrame, width: int = 4, percent: int = 85, all_links: bool =
     Other columns are ignored; an empty table gives an empty result.
 
     N-grams and sets are told apart by 64- and 128-bit hashes. Every intermediate table is written to
-    the shared folder. The driver sees the sketch (CELLS numbers, whatever the input) and a few counts.
+    the shared folder. The driver sees the sketch (CELLS numbers, whatever the input), MARKS bits twice and a few counts.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_key", text_key(F.col("text")))
     scan = materialise(rows.mapInArrow(_scan(width), "doc_id long, row_key long, n long, sid binary, bits binary, range int, counts binary"), "scan")
