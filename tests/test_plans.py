@@ -27,6 +27,21 @@ def test_intervals_share_one_merge(spark):
     assert "ReusedExchange" in plan and plan.count("FileScan") == 1
 
 
+def test_long_gaps_parse_times_once_and_share_the_shuffle_of_a_block(spark):
+    df = spark.createDataFrame([("a", f"2020-01-{d:02} 00:00:0{d % 2}") for d in (1, 2, 5, 9)], "station_id string, text string")
+    times = df.withColumn("timestamp", F.try_to_timestamp("text").cast("timestamp_ntz"))
+    found = gaps.longest_gaps(gaps.missing_slots(gaps.intervals(times, b.DAY), b.DAY), b.DAY)
+    plan = executed(found)
+    # The text is parsed for the merge and in no condition; nothing is looked for inside a second.
+    assert not [line for line in plan.splitlines() if "Filter" in line and "text" in line]
+    assert len(re.findall(r"Window \[", plan)) == 2 and "second" not in "".join(re.findall(r"windowspecdefinition\((.*?) ASC", plan))
+    # Steps of a block go through one shuffle, for their window and for the ends of the block.
+    blocks = [line for line in plan.splitlines() if re.search(r" Exchange hashpartitioning\(.*block#", line) and "Reused" not in line]
+    assert len(blocks) == 1 and "ReusedExchange" in plan
+    assert [(r.ts.day, r.gap_seconds, r.estimated_missing_slots) for r in found.collect()] == [
+        (9, 4 * 86_400, 3), (5, 3 * 86_400 + 1, 3)]
+
+
 def test_span_coverage_and_profile_scan_once(spark):
     pairs, ends = gaps.intervals_and_ends(b.aligned(spark, SF), b.DAY, time="observation_time", within=["year"])
     plan = executed(gaps.span_coverage_raw(ends, gaps.missing_slots(pairs, b.DAY), b.DAY, ["year"]))
